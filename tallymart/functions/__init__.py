@@ -10,11 +10,17 @@ from tallymart.functions.cells import (
     value_or_null,
     yes_no,
 )
-from tallymart.functions.export_text import as_export_text, export_name, publish_path
+from tallymart.functions.export_text import (
+    as_export_text,
+    datetime_resolutions,
+    export_name,
+    publish_path,
+)
 from tallymart.functions.headers import rename_headers, snake_case
 
 __all__ = [
     "as_export_text",
+    "datetime_resolutions",
     "export_name",
     "fold_na_tokens",
     "null_text_to_null",

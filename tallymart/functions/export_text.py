@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import calendar
-from collections.abc import Collection
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -11,16 +11,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# How a timestamp column is written, by the finest unit it uses.
+DATETIME_FORMATS = {
+    "day": "yyyy-MM-dd",
+    "second": "yyyy-MM-dd HH:mm:ss",
+    "millisecond": "yyyy-MM-dd HH:mm:ss.SSS",
+    "microsecond": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+}
+
+
 def float_text(value: Column) -> Column:
     """Shortest decimal text of a double: plain digits while the exponent is
-    in [-5, 16), otherwise ``1e+20`` / ``1.5e-07`` form; NaN becomes NULL."""
+    in [-4, 16), otherwise ``1e+20`` / ``1.5e-07`` form; NaN becomes NULL.
+
+    The digits are the JVM's; before Java 19 it spells some very large or
+    small doubles with a digit more than needed.
+    """
     raw = value.cast("string")
     mantissa = F.regexp_replace(F.split_part(raw, F.lit("E"), F.lit(1)), r"\.0$", "")
     exponent = F.split_part(raw, F.lit("E"), F.lit(2)).try_cast("int")
     scientific = F.concat(
         mantissa,
         F.when(exponent < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
+        F.when(F.abs(exponent) < 10, "0").otherwise(""),
+        F.abs(exponent).cast("string"),
     )
     digits = F.rtrim(raw.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
     plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
@@ -34,22 +48,37 @@ def float_text(value: Column) -> Column:
     )
 
 
-def datetime_text(value: Column, whole_days: bool) -> Column:
-    """``yyyy-MM-dd`` for a column of whole days, else date, time and, where
-    there is one, the fraction in microseconds."""
-    if whole_days:
-        return F.date_format(value, "yyyy-MM-dd")
-    seconds = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
-    fraction = F.date_format(value, ".SSSSSS")
-    return F.when(fraction == ".000000", seconds).otherwise(F.concat(seconds, fraction))
-
-
 def is_datetime(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.TimestampType, T.TimestampNTZType))
 
 
-def as_export_text(df: DataFrame, whole_day_columns: Collection[str] = ()) -> DataFrame:
-    """The same rows with booleans, doubles and timestamps spelled for export."""
+def datetime_resolutions(df: DataFrame) -> dict[str, str]:
+    """The finest unit each timestamp column uses, for all columns in one pass."""
+    units = list(DATETIME_FORMATS)
+
+    def finest(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        fraction = F.date_format(value, "SSSSSS")
+        level = (
+            F.when(value.cast("date").cast(field.dataType) == value, units.index("day"))
+            .when(fraction == "000000", units.index("second"))
+            .when(fraction.endswith("000"), units.index("millisecond"))
+            .when(value.isNotNull(), units.index("microsecond"))
+        )
+        return F.max(level).alias(field.name)
+
+    fields = [f for f in df.schema.fields if is_datetime(f.dataType)]
+    if not fields:
+        return {}
+    levels = df.agg(*[finest(f) for f in fields]).first().asDict()
+    return {name: units[level or 0] for name, level in levels.items()}
+
+
+def as_export_text(df: DataFrame, resolutions: Mapping[str, str]) -> DataFrame:
+    """The same rows with booleans, doubles and timestamps spelled for export.
+
+    ``resolutions`` gives the unit of each timestamp column (default: second).
+    """
 
     def cell(field: T.StructField) -> Column:
         column = F.col(f"`{field.name}`")
@@ -58,7 +87,8 @@ def as_export_text(df: DataFrame, whole_day_columns: Collection[str] = ()) -> Da
         elif isinstance(field.dataType, T.DoubleType):
             column = float_text(column)
         elif is_datetime(field.dataType):
-            column = datetime_text(column, field.name in whole_day_columns)
+            unit = resolutions.get(field.name, "second")
+            column = F.date_format(column, DATETIME_FORMATS[unit])
         return column.alias(field.name)
 
     return df.select(*[cell(f) for f in df.schema.fields])

@@ -169,14 +169,14 @@ def export_pipe_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = export_delimited(
         star_orders(_cleaned(spark, sf_dir)),
         fresh_path(spark, "export"),
-        date_columns=("order_date", "ship_date"),
+        resolutions={"order_date": "day", "ship_date": "day"},
     )
     return _read_export(spark, path, ORDERS_COLUMNS)
 
 
 def export_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
-    days = spark.read.parquet(f"{sf_dir}/orders.parquet").select(day.alias("day")).distinct()
+    days = derived.table(spark, sf_dir, "orders").select(day.alias("day")).distinct()
     return days.select("day", export_name("monthly_sales", F.col("day")).alias("name")).select(
         "name", publish_path(F.col("name"), F.col("day")).alias("path")
     )

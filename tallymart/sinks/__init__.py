@@ -1,6 +1,6 @@
 """Target tables and delimited exports."""
 
-from tallymart.sinks.exports import export_delimited, publish, publish_scripts, whole_day_columns
+from tallymart.sinks.exports import export_delimited, publish, publish_scripts
 from tallymart.sinks.tables import (
     Layout,
     create_schema,
@@ -20,5 +20,4 @@ __all__ = [
     "publish",
     "publish_scripts",
     "stage",
-    "whole_day_columns",
 ]

@@ -7,16 +7,15 @@ an object store included, and there is no separate upload.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallymart.functions.export_text import (
     as_export_text,
+    datetime_resolutions,
     export_name,
-    is_datetime,
     publish_path,
 )
 from tallymart.sources.scripts import read_scripts, run_script
@@ -35,34 +34,20 @@ CSV_OPTIONS = {
 }
 
 
-def whole_day_columns(df: DataFrame) -> list[str]:
-    """The timestamp columns that hold midnights only, found in one pass."""
-    names = [f.name for f in df.schema.fields if is_datetime(f.dataType)]
-    if not names:
-        return []
-    day_only = [
-        F.bool_and(F.col(n).cast("date").cast(df.schema[n].dataType) == F.col(n)).alias(n)
-        for n in names
-    ]
-    row = df.agg(*day_only).first()
-    return [n for n in names if row[n]]
-
-
 def export_delimited(
     df: DataFrame,
     path: str,
-    date_columns: Collection[str] | None = None,
+    resolutions: Mapping[str, str] | None = None,
     single_file: bool = False,
 ) -> str:
     """Write ``df`` to ``path``, replacing what is there, and return the path.
 
-    Timestamps in ``date_columns`` are written as dates. When it is not given,
-    one extra pass finds the columns that hold whole days only.
+    A timestamp column is written with the finest unit any of its values uses
+    (a column of whole days as dates). ``resolutions`` names those units; when
+    it is not given, one extra pass over the rows finds them.
     ``single_file`` is for small reports: one task writes them.
     """
-    if date_columns is None:
-        date_columns = whole_day_columns(df)
-    text = as_export_text(df, date_columns)
+    text = as_export_text(df, datetime_resolutions(df) if resolutions is None else resolutions)
     if single_file:
         text = text.coalesce(1)
     text.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)

@@ -1,0 +1,263 @@
+"""Operator edges on small literal frames, against brute force where useful."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tallymart.operators import (
+    ReconciliationError,
+    collapse,
+    contract_checks,
+    count_not_equal,
+    distinct_count,
+    distinct_rows,
+    duplicate_count,
+    duplicate_rows_all,
+    duplicate_rows_later,
+    flag_membership,
+    head_rows,
+    keep_first,
+    mismatches,
+    null_counts,
+    profile_table,
+    reconcile_counts,
+    require_reconciled,
+    rows_to_insert,
+    tail_rows,
+    value_counts,
+)
+from tallymart.operators import duplicates
+
+LINE = "row_id bigint, order_id string, product_id string, note string, sales double, quantity bigint"
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def lines(spark, *data):
+    return spark.createDataFrame(list(data), LINE)
+
+
+def collapsed(df):
+    return collapse(df, sums=("sales", "quantity"))
+
+
+def test_collapse_drops_missing_keys_and_keeps_column_order(spark):
+    df = lines(spark, (1, None, "p", "a", 1.0, 1), (2, "A", None, "a", 1.0, 1), (3, "A", "p", "b", 2.0, 2))
+    out = collapsed(df)
+    assert out.columns == df.columns
+    assert rows(out) == [(3, "A", "p", "b", 2.0, 2)]
+
+
+def test_collapse_last_skips_missing_values(spark):
+    df = lines(spark, (1, "A", "p", "a", 1.5, 1), (2, "A", "p", None, 2.0, 2))
+    assert rows(collapsed(df)) == [(2, "A", "p", "a", 3.5, 3)]
+
+
+def test_collapse_sums_missing_as_zero_and_ignores_nan(spark):
+    df = lines(
+        spark, (1, "A", "p", None, None, None), (2, "A", "p", None, None, None),
+        (1, "B", "p", "x", float("nan"), 1), (2, "B", "p", "y", 2.0, None),
+    )
+    assert rows(collapsed(df)) == [(2, "A", "p", None, 0.0, 0), (2, "B", "p", "y", 2.0, 1)]
+
+
+def test_collapse_matches_pandas_for_any_row_order(spark):
+    rng = random.Random(3)
+    data = [
+        (i, rng.choice([None, "A", "B", "C"]), rng.choice([None, "p", "q"]),
+         rng.choice([None, "x", "y", "z"]), rng.choice([None, 1.0, 2.5, 4.0]), rng.randrange(5))
+        for i in range(400)
+    ]
+    names = [c.split()[0] for c in LINE.split(", ")]
+    pdf = pd.DataFrame(data, columns=names)
+    rule = {c: "sum" if c in ("sales", "quantity") else "last" for c in names}
+    grouped = pdf.groupby(["order_id", "product_id"]).agg(rule)
+    expected = sorted(tuple(None if pd.isna(v) else v for v in r) for r in grouped.itertuples(index=False))
+    rng.shuffle(data)
+    for parts in (1, 7):
+        assert rows(collapsed(lines(spark, *data).repartition(parts))) == expected
+
+
+def test_keep_first_nulls_are_one_group(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (4, "a"), (3, "a")], "k int, v string")
+    assert rows(keep_first(df, ["v"], ["k"])) == [(1, None), (3, "a")]
+
+
+def test_keep_first_limits_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id", "id % 3 AS k")
+    plan = keep_first(df, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    before, after = plan.split("Exchange", 1)
+    assert "WindowGroupLimit" in before and "WindowGroupLimit" in after
+
+
+def test_distinct_rows(spark):
+    df = spark.createDataFrame([("E", None), ("E", None), (" E", None)], "r string, m string")
+    assert rows(distinct_rows(df)) == [(" E", None), ("E", None)]
+
+
+def test_flag_membership(spark):
+    df = spark.createDataFrame([("A", 1), ("A", 2), ("B", 3), (None, 4)], "order_id string, n int")
+    returned = spark.createDataFrame([("A",), ("A",), ("Z",)], "order_id string")
+    out = flag_membership(df, returned)
+    assert out.columns == ["order_id", "n", "returned"]
+    assert rows(out) == [("A", 1, "Yes"), ("A", 2, "Yes"), ("B", 3, "No"), (None, 4, "No")]
+    with_null = returned.unionAll(spark.createDataFrame([(None,)], "order_id string"))
+    assert (None, 4, "Yes") in rows(flag_membership(df, with_null))
+
+
+def test_count_not_equal_counts_missing(spark):
+    df = spark.createDataFrame([("Yes",), (None,), ("No",)], "returned string")
+    assert rows(count_not_equal(df, "returned", "Yes")) == [(2,)]
+
+
+def test_reconcile(spark):
+    orders = spark.createDataFrame([("A",), ("A",), ("B",), (None,), ("C",)], "order_id string")
+    same = spark.createDataFrame([("A",), ("A",), ("Z",), (None,), (None,)], "order_id string")
+    bad = same.unionAll(spark.createDataFrame([("B",), ("B",)], "order_id string"))
+    assert rows(reconcile_counts(orders, same)) == [("A", 2, 2)]
+    require_reconciled(orders, same)
+    assert rows(mismatches(reconcile_counts(orders, bad))) == [("B", 1, 2)]
+    with pytest.raises(ReconciliationError, match="1 shared order_id"):
+        require_reconciled(orders, bad)
+
+
+def test_rows_to_insert(spark):
+    target = spark.createDataFrame([(1, "old")], "k int, v string")
+    source = spark.createDataFrame([(1, "new"), (2, "a"), (2, "b"), (None, "c")], "k int, v string")
+    assert rows(rows_to_insert(source, target, ["k"])) == [(2, "a"), (2, "b"), (None, "c")]
+
+
+def test_rows_to_insert_two_keys(spark):
+    target = spark.createDataFrame([("A", "p"), ("B", None)], "o string, p string")
+    source = spark.createDataFrame([("A", "p"), ("A", "q"), ("B", None)], "o string, p string")
+    assert rows(rows_to_insert(source, target, ["o", "p"])) == [("A", "q"), ("B", None)]
+
+
+def _random_frame(spark, n=300):
+    rng = random.Random(5)
+    data = [(rng.choice([None, "a", "b", "c"]), rng.choice([None, 1, 2])) for _ in range(n)]
+    return data, spark.createDataFrame(data, "s string, n int")
+
+
+def test_duplicates_match_pandas(spark):
+    data, df = _random_frame(spark)
+    pdf = pd.DataFrame(data, columns=["s", "n"])
+    assert rows(duplicate_count(df)) == [("s, n", int(pdf.duplicated().sum()))]
+    assert rows(duplicate_count(df, ["s"])) == [("s", int(pdf.duplicated(["s"], keep="last").sum()))]
+    later = Counter(rows(duplicate_rows_later(df)))
+    assert later == Counter({row: n - 1 for row, n in Counter(data).items() if n > 1})
+
+
+def test_duplicate_rows_all_keeps_every_copy_and_matches_nulls(spark):
+    df = spark.createDataFrame(
+        [("a", None, 1), ("a", None, 2), ("a", 1, 3), (None, None, 4), (None, None, 5), ("b", 1, 6)],
+        "k string, m int, v int",
+    )
+    assert [r[2] for r in rows(duplicate_rows_all(df, ["k", "m"]))] == [1, 2, 4, 5]
+
+
+@pytest.mark.parametrize("copies", [1, 2, 8, 9, 10, 17, 40])
+def test_duplicate_rows_later_in_chunks(spark, monkeypatch, copies):
+    monkeypatch.setattr(duplicates, "_CHUNK_SIZE", 8)
+    df = spark.createDataFrame([("x", None)] * copies + [("y", 1)], "a string, b int")
+    assert rows(duplicate_rows_later(df)) == [("x", None)] * (copies - 1)
+
+
+def test_duplicate_count_of_empty(spark):
+    df = spark.createDataFrame([], "a string")
+    assert rows(duplicate_count(df)) == [("a", 0)]
+
+
+def test_value_counts(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), (None,), ("c",)], "v string")
+    assert [tuple(r) for r in value_counts(df, "v").collect()] == [("b", 2), ("a", 1), ("c", 1)]
+    assert [tuple(r) for r in value_counts(df, "v", top=2).collect()] == [("b", 2), ("a", 1)]
+
+
+def test_counts_and_profile(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0, None), (None, float("nan"), 2), ("a", None, 2)], "s string, d double, n bigint"
+    )
+    assert rows(null_counts(df)) == [("d", 2), ("n", 1), ("s", 1)]
+    assert [tuple(r) for r in profile_table(df).orderBy("position").collect()] == [
+        (0, "s", "string", 2, 3), (1, "d", "double", 1, 3), (2, "n", "bigint", 2, 3)
+    ]
+    assert rows(distinct_count(df, "s")) == [("s", 2)]
+    assert rows(distinct_count(df, "d")) == [("d", 2)]
+
+
+def test_contract_checks(spark):
+    source = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    checks = contract_checks(
+        {"good": (source.distinct(), source, "k"), "bad": (source, source, "k"), "rows": (source, source, None),
+         "empty": (source.limit(0), source.limit(0), "k")}
+    )
+    assert {r["output"]: (r["rows"], r["expected_rows"], r["columns"], r["holds"]) for r in checks.collect()} == {
+        "good": (2, 2, 1, True), "bad": (3, 2, 1, False), "rows": (3, 3, 1, True), "empty": (0, 0, 1, True)
+    }
+
+
+def test_head_and_tail(spark):
+    df = spark.range(20).selectExpr("id", "CAST(id AS string) AS s").repartition(5)
+    assert [r["id"] for r in head_rows(df, ["id"], 4).collect()] == [0, 1, 2, 3]
+    assert [r["id"] for r in tail_rows(df, ["id"], 4).collect()] == [19, 18, 17, 16]
+    assert "TakeOrderedAndProject" in head_rows(df, ["id"])._jdf.queryExecution().executedPlan().toString()
+
+
+# One key holds a third of the rows: the joins must be split, not piled up.
+
+
+@pytest.fixture
+def skewed(spark, conf, tmp_path):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+        spark__sql__shuffle__partitions="16",
+    )
+    path = str(tmp_path / "skewed")
+    (
+        spark.range(0, 60000, 1, 16)
+        .selectExpr("IF(id % 3 = 0, 'hot', concat('k', id)) AS order_id", "id AS n",
+                    "IF(id % 3 = 0, 'hot', concat('k', id % 20000)) AS twice", "uuid() AS filler")
+        .write.parquet(path)
+    )
+    return spark.read.parquet(path)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_flag_membership_splits_a_hot_key(spark, skewed):
+    members = skewed.where("n % 2 = 0").select("order_id")
+    flagged = flag_membership(skewed, members)
+    assert "SortMergeJoin(skew=true)" in final_plan(flagged)
+    hot = flagged.where("order_id = 'hot'").groupBy("returned").count().collect()
+    assert [(r["returned"], r["count"]) for r in hot] == [("Yes", 20000)]
+    assert flagged.count() == 60000
+
+
+def test_duplicate_rows_all_splits_a_hot_key(spark, skewed):
+    found = duplicate_rows_all(skewed, ["order_id"])
+    assert "SortMergeJoin(skew=true)" in final_plan(found)
+    assert found.count() == 20000
+
+
+def test_rows_to_insert_splits_a_hot_key(spark, skewed, tmp_path):
+    target = str(tmp_path / "target")
+    skewed.where("order_id <> 'hot' AND n % 2 = 0").select("order_id").write.parquet(target)
+    new = rows_to_insert(skewed, spark.read.parquet(target), ["order_id"])
+    assert "SortMergeJoin(skew=true)" in final_plan(new)
+    assert new.count() == 60000 - 20000
+    assert new.where(F.col("order_id") == "hot").count() == 20000
