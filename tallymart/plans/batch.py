@@ -23,9 +23,13 @@ from tallymart.operators import (
 from tallymart.schemas import (
     CUSTOMER_ADDRESS,
     GROUPED_KEYS,
+    LINE_KEYS,
     MERGE_KEYS,
+    MONEY,
     ORDERS_RENAMES,
     PEOPLE_RENAMES,
+    ROW_ORDER,
+    WHOLE,
 )
 from tallymart.sinks.tables import Layout, drop_stage, merge_insert_only, overwrite, stage
 from tallymart.sources.sheets import Sheets, read_sheets
@@ -34,9 +38,19 @@ Mode = Literal["merge", "overwrite"]
 OnMismatch = Literal["raise", "flag"]
 
 
-def prepare_orders(sheet: DataFrame) -> DataFrame:
-    """Order lines with standard headers, collapsed and rounded."""
-    return round_measures(collapse(rename_headers(sheet, ORDERS_RENAMES)))
+def prepare_orders(sheet: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Order lines with standard headers, collapsed and rounded.
+
+    ``columns`` limits the result to the line keys and these columns, and with
+    it what is read and shuffled; the default is the whole line.
+    """
+    lines = rename_headers(sheet, ORDERS_RENAMES)
+    kept = lines.columns
+    if columns is not None:
+        kept = [c for c in kept if c in columns or c in LINE_KEYS]
+        lines = lines.select(*dict.fromkeys([*kept, ROW_ORDER]))
+    money, whole = [c for c in MONEY if c in kept], [c for c in WHOLE if c in kept]
+    return round_measures(collapse(lines), money, whole).select(*kept)
 
 
 def prepare_people(sheet: DataFrame) -> DataFrame:

@@ -53,6 +53,7 @@ from tallymart.plans.batch import (
 )
 from tallymart.schemas import (
     CUSTOMER_ID,
+    CUSTOMERS_COLUMNS,
     DUPLICATE_KEYS,
     LINE_KEYS,
     ORDERS_COLUMNS,
@@ -73,22 +74,26 @@ SCRIPTS = str(Path(__file__).parents[2] / "examples" / "sql")
 RUN_DAY = date(2025, 3, 11)
 LOOKED_UP_ORDER = "O-1"
 LINE_SORT = (*LINE_KEYS, ROW_ORDER)
+DIMENSIONS = {
+    "customers": (star_customers, CUSTOMERS_COLUMNS),
+    "products": (star_products, PRODUCTS_COLUMNS),
+}
 
 
 # Inputs shared by the queries -----------------------------------------------
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_orders(derived.orders(spark, sf_dir))
+def _lines(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
+    return prepare_orders(derived.orders(spark, sf_dir), columns)
 
 
-def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_lines(_lines(spark, sf_dir), derived.returns(spark, sf_dir))
+def _cleaned(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
+    return clean_lines(_lines(spark, sf_dir, columns), derived.returns(spark, sf_dir))
 
 
-def _unflagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _unflagged(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
     """The dimensions do not need the returned flag, so no join either."""
-    return standardise_lines(_lines(spark, sf_dir))
+    return standardise_lines(_lines(spark, sf_dir, columns))
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,11 +102,15 @@ def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "orders":
-        return star_orders(_cleaned(spark, sf_dir))
+        return star_orders(_cleaned(spark, sf_dir, ORDERS_COLUMNS))
     if name == "regions":
         return star_regions(_people(spark, sf_dir))
-    split = {"customers": star_customers, "products": star_products}
-    return split[name](_unflagged(spark, sf_dir))
+    split, columns = DIMENSIONS[name]
+    return split(_unflagged(spark, sf_dir, columns))
+
+
+def _customers_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star_customers(_unflagged(spark, sf_dir, CUSTOMERS_COLUMNS), CUSTOMER_ID)
 
 
 def _fresh_schema(spark: SparkSession) -> str:
@@ -143,7 +152,7 @@ def _load_overwrite(name: str) -> Query:
 def _script_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "orders": _star(spark, sf_dir, "orders"),
-        "customers": star_customers(_unflagged(spark, sf_dir), CUSTOMER_ID),
+        "customers": _customers_by_id(spark, sf_dir),
         "regions": _star(spark, sf_dir, "regions"),
     }
 
@@ -167,7 +176,7 @@ def _read_export(spark: SparkSession, path: str, columns) -> DataFrame:
 
 def export_pipe_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = export_delimited(
-        star_orders(_cleaned(spark, sf_dir)),
+        _star(spark, sf_dir, "orders"),
         fresh_path(spark, "export"),
         resolutions={"order_date": "day", "ship_date": "day"},
     )
@@ -211,11 +220,11 @@ def _merge(name: str) -> Query:
         schema = _fresh_schema(spark)
 
         def star(part: DataFrame) -> dict[str, DataFrame]:
-            lines = prepare_orders(part)
             if name == "orders":
+                lines = prepare_orders(part, ORDERS_COLUMNS)
                 return {name: star_orders(clean_lines(lines, derived.returns(spark, sf_dir)))}
-            split = {"customers": star_customers, "products": star_products}
-            return {name: split[name](standardise_lines(lines))}
+            split, columns = DIMENSIONS[name]
+            return {name: split(standardise_lines(prepare_orders(part, columns)))}
 
         load(spark, star(derived.first_batch(orders)), schema, mode="overwrite")
         staged = ("orders", "customers", "products")
@@ -245,16 +254,14 @@ def rename_all_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flag_returned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = flag_membership(_lines(spark, sf_dir), derived.returns(spark, sf_dir))
-    return flagged.select(*LINE_KEYS, "returned")
+    lines = _lines(spark, sf_dir, LINE_KEYS)
+    return flag_membership(lines, derived.returns(spark, sf_dir))
 
 
 def filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _lines(spark, sf_dir)
-        .where(F.col("order_id") == LOOKED_UP_ORDER)
-        .select("order_id", "order_date", "ship_date", "product_id", "customer_id")
-    )
+    columns = ("order_id", "order_date", "ship_date", "product_id", "customer_id")
+    lines = _lines(spark, sf_dir, columns)
+    return lines.where(F.col("order_id") == LOOKED_UP_ORDER).select(*columns)
 
 
 def filter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,17 +277,16 @@ def count_not_yes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile_counts(_lines(spark, sf_dir), derived.returns(spark, sf_dir))
+    return reconcile_counts(_lines(spark, sf_dir, LINE_KEYS), derived.returns(spark, sf_dir))
 
 
 def reconcile_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = reconcile_counts(_lines(spark, sf_dir), derived.returns_bad(spark, sf_dir))
+    counted = reconcile_counts(_lines(spark, sf_dir, LINE_KEYS), derived.returns_bad(spark, sf_dir))
     return mismatches(counted)
 
 
 def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = (*LINE_KEYS, "sales", "quantity", "discount", "profit")
-    return _lines(spark, sf_dir).select(*columns)
+    return _lines(spark, sf_dir, ("sales", "quantity", "discount", "profit"))
 
 
 def dup_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,17 +295,18 @@ def dup_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines(spark, sf_dir)
+    lines = _lines(spark, sf_dir, CUSTOMER_ID)
     return distinct_count(lines, "customer_id").unionByName(distinct_count(lines, "product_id"))
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned, lines = _cleaned(spark, sf_dir), _unflagged(spark, sf_dir)
+    orders = _star(spark, sf_dir, "orders")
+    lines = _unflagged(spark, sf_dir, CUSTOMER_ID)
     return contract_checks(
         {
-            "orders": (star_orders(cleaned), cleaned, None),
-            "customers": (star_customers(lines, CUSTOMER_ID), lines, "customer_id"),
-            "products": (star_products(lines), lines, "product_id"),
+            "orders": (orders, lines, None),
+            "customers": (_customers_by_id(spark, sf_dir), lines, "customer_id"),
+            "products": (_star(spark, sf_dir, "products"), lines, "product_id"),
         }
     )
 
@@ -358,7 +365,7 @@ QUERIES: dict[str, Query] = {
     "clean_people": _people,
     "star_orders": lambda s, d: _star(s, d, "orders"),
     "star_customers": lambda s, d: _star(s, d, "customers"),
-    "star_customers_by_id": lambda s, d: star_customers(_unflagged(s, d), CUSTOMER_ID),
+    "star_customers_by_id": _customers_by_id,
     "star_products": lambda s, d: _star(s, d, "products"),
     "star_regions": lambda s, d: _star(s, d, "regions"),
     "flag_returned": flag_returned,
@@ -369,7 +376,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_mismatches": reconcile_mismatches,
     "collapse_order_lines": _lines,
     "round_measures": measures,
-    "value_counts": lambda s, d: value_counts(_lines(s, d), "order_id"),
+    "value_counts": lambda s, d: value_counts(_lines(s, d, LINE_KEYS), "order_id"),
     "value_counts_returns": lambda s, d: value_counts(derived.returns(s, d), "order_id"),
     "profile_table": lambda s, d: profile_table(rename_all_headers(s, d)),
     "null_counts": lambda s, d: null_counts(derived.orders(s, d)),

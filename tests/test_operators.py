@@ -85,6 +85,33 @@ def test_collapse_matches_pandas_for_any_row_order(spark):
         assert rows(collapsed(lines(spark, *data).repartition(parts))) == expected
 
 
+def test_collapse_mixes_complete_and_partial_rows(spark):
+    schema = "row_id bigint, order_id string, product_id string, a string, b double, c int"
+    data = [
+        (1, "A", "p", "a1", 1.0, None), (2, "A", "p", "a2", 2.0, 2), (3, "A", "p", None, float("nan"), 3),
+        (1, "B", "p", None, 1.0, None), (2, "B", "p", "b2", None, None),
+        (2, "C", "p", "c2", 2.0, 2), (1, "C", "p", "c1", None, 1),
+        (None, "D", "p", "d0", 0.0, 0), (1, "D", "p", None, 1.0, None),
+        (None, "E", "p", "e0", 0.0, 0),
+    ]
+    expected = [
+        (1, "D", "p", "d0", 1.0, 0), (2, "B", "p", "b2", 1.0, None), (2, "C", "p", "c2", 2.0, 2),
+        (3, "A", "p", "a2", 2.0, 3), (None, "E", "p", "e0", 0.0, 0),
+    ]
+    for parts in (1, 5):
+        df = spark.createDataFrame(data, schema).repartition(parts)
+        assert rows(collapse(df, sums=())) == expected
+
+
+def test_collapse_pushes_the_key_filter_and_prunes_columns(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    lines(spark, (1, "A", "p", "a", 1.0, 1)).write.parquet(path)
+    plan = collapsed(spark.read.parquet(path)).select("order_id", "sales")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(order_id), IsNotNull(product_id)" in text
+    assert "ReadSchema: struct<order_id:string,product_id:string,sales:double>" in text
+
+
 def test_keep_first_nulls_are_one_group(spark):
     df = spark.createDataFrame([(1, None), (2, None), (4, "a"), (3, "a")], "k int, v string")
     assert rows(keep_first(df, ["v"], ["k"])) == [(1, None), (3, "a")]
