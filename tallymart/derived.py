@@ -14,6 +14,8 @@ high, and the lines themselves would be taken for the smaller side.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,9 +147,12 @@ def sheets(orders: DataFrame, people: DataFrame, returns: DataFrame) -> Sheets:
     )
 
 
-def write_batch(batch: Sheets, path: str) -> str:
-    """Write the sheets as a batch folder of CSV exports."""
+SHEETS = ("orders", "people", "returns")
+
+
+def write_batch(batch: Sheets, path: str, names: Sequence[str] = SHEETS) -> str:
+    """Write the (named) sheets as a batch folder of CSV exports."""
     options = {k: v for k, v in CSV_OPTIONS.items() if k != "mode"} | {"nullValue": ""}
-    for name in ("orders", "people", "returns"):
+    for name in names:
         getattr(batch, name).write.options(**options).csv(f"{path}/{name}")
     return path

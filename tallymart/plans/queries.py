@@ -58,14 +58,17 @@ from tallymart.schemas import (
     LINE_KEYS,
     ORDERS_COLUMNS,
     ORDERS_RENAMES,
+    ORDERS_SHEET,
     PEOPLE_RENAMES,
+    PEOPLE_SHEET,
     PRODUCTS_COLUMNS,
+    RETURNS_SHEET,
     ROW_ORDER,
 )
 from tallymart.session import fresh_path
 from tallymart.sinks import create_schema, export_delimited, publish
 from tallymart.sinks.exports import CSV_OPTIONS, publish_scripts
-from tallymart.sources import read_scripts, read_sheets, run_script, scan_table
+from tallymart.sources import Sheets, read_scripts, read_sheet, run_script, scan_table
 from tallymart.streaming import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,23 +122,32 @@ def _fresh_schema(spark: SparkSession) -> str:
     return schema
 
 
-def _batch(spark: SparkSession, sf_dir: str, path: str, part=lambda orders: orders) -> str:
-    sheets = derived.sheets(
+def _sheets(spark: SparkSession, sf_dir: str, part=lambda orders: orders) -> Sheets:
+    return derived.sheets(
         part(derived.orders(spark, sf_dir)),
         derived.people(spark, sf_dir),
         derived.returns(spark, sf_dir),
     )
-    return derived.write_batch(sheets, path)
+
+
+def _batch(spark: SparkSession, sf_dir: str, path: str, part) -> str:
+    return derived.write_batch(_sheets(spark, sf_dir, part), path)
 
 
 # Sources --------------------------------------------------------------------
 
 
 def _scan_sheet(name: str) -> Query:
+    declared, renames = {
+        "orders": (ORDERS_SHEET, ORDERS_RENAMES),
+        "people": (PEOPLE_SHEET, PEOPLE_RENAMES),
+        "returns": (RETURNS_SHEET, None),
+    }[name]
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        batch = _batch(spark, sf_dir, fresh_path(spark, "batch"))
-        sheet = getattr(read_sheets(spark, batch), name)
-        return rename_headers(sheet, {"orders": ORDERS_RENAMES, "people": PEOPLE_RENAMES}.get(name))
+        path = fresh_path(spark, "batch")
+        batch = derived.write_batch(_sheets(spark, sf_dir), path, [name])
+        return rename_headers(read_sheet(spark, f"{batch}/{name}", declared), renames)
 
     return query
 
@@ -247,10 +259,7 @@ def merge_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rename_all_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = derived.sheets(
-        derived.orders(spark, sf_dir), derived.people(spark, sf_dir), derived.returns(spark, sf_dir)
-    )
-    return rename_headers(raw.orders, ORDERS_RENAMES)
+    return rename_headers(_sheets(spark, sf_dir).orders, ORDERS_RENAMES)
 
 
 def flag_returned(spark: SparkSession, sf_dir: str) -> DataFrame:
