@@ -295,3 +295,12 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame | None = None, version:
         "base_failed", F.col("failed_bits").bitwiseAND(F.lit(mask(BASE_RULES))) != 0
     )
     return apply_policy(ledger, version).withColumn("kept", F.col("kept") & ~F.col("base_failed"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame | None = None, version: str = CURRENT) -> DataFrame:
+    """The rows of ``docs`` that a policy keeps, with their columns."""
+    learned = learn_abuse(docs, labels) if labels is not None else []
+    # The whole row travels in the place of the id, so nothing is joined.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), F.col("text"))
+    kept = apply_policy(rule_ledger(rows, learned), version).where("kept")
+    return kept.select(*[F.col(f"doc_id.`{c}`").alias(c) for c in docs.columns])

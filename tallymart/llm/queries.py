@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import fm_dedup, quality, suffix_dedup
+from tallymart.llm import (
+    decontaminate,
+    fm_dedup,
+    html_text,
+    language,
+    minhash,
+    mixing,
+    quality,
+    suffix_dedup,
+    templates,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,13 +35,52 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return minhash.near_duplicates(docs, shingle=3, percent=85).drop("_id", "_tid")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.remove_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.drop_recurring_lines(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
-    "op1_quality_rules": op1_quality_rules,
-    "op2_suffix_dedup": op2_suffix_dedup,
-    "op7_substring_dedup": op7_substring_dedup,
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_suffix_dedup,
+        op3_minhash_near_dedup,
+        op4_url_filter,
+        op5_source_mixing,
+        op6_html_extraction,
+        op7_substring_dedup,
+        op8_language_id,
+        op9_line_dedup,
+        op10_decontamination,
+    )
 }
 ORACLES: dict[str, str] = {}
