@@ -8,8 +8,8 @@ right end, and every window inside a match of the threshold's length is
 reported.
 
 Edge cases: a null text has no words; a text with fewer words than the window
-keeps them all; rows that repeat id and text are copies of each other; a null id
-counts as the largest; an empty table gives an empty result. Only ``doc_id`` and
+keeps them all; rows that repeat id and text are copies of each other; null ids
+come last; an empty table gives an empty result. Only ``doc_id`` and
 ``text`` are read, so other columns do not matter.
 """
 

@@ -17,7 +17,8 @@ indexes a shard:
 4. A kernel judges each shard and returns ranges of window starts per text.
 
 Symbols are bytes or words. Texts are keyed by (id, 64-bit hash): rows that
-repeat both are one document; a null id counts as the largest id.
+repeat both are one document; null ids come after all others, which are below
+2 ** 62.
 """
 
 from __future__ import annotations
@@ -27,16 +28,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.text import Texts, byte_values, each_piece, mix, range_hashes, salted
 
-SHARD = 20_000
+SHARD = 1_000
 CHUNK = 4_000_000
 _SLICE = 1 << 22
 _PLACE_BITS = np.uint64(24)
-_LARGEST = (1 << 63) - 1
+_NULL_ID = 1 << 62
 _KEY = ["_id", "_tid"]
 FOUND = "_id long, _tid long, s long, e long, w1 long, w2 long, hot boolean"
 
@@ -114,19 +116,17 @@ def anchor_segments(symbols: np.ndarray, first: np.ndarray, windows: Windows) ->
 
 def keyed_texts(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select("doc_id", text.alias("text")).select(
-        "doc_id",
-        "text",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LARGEST)).alias("_id"),
-        F.xxhash64("text").alias("_tid"),
-    )
+    hashed = docs.select("doc_id", text.alias("text")).withColumn("_tid", F.xxhash64("text"))
+    # Null ids come last and differ by text, so that they are spread.
+    spread = F.col("_tid").bitwiseAND(F.lit(_NULL_ID - 1)).bitwiseOR(F.lit(_NULL_ID))
+    return hashed.select("text", "_tid", F.coalesce(F.col("doc_id").cast("long"), spread).alias("_id"))
 
 
 def first_copies(texts: DataFrame) -> DataFrame:
     """The key of the first row of each distinct text, and how many rows have it."""
     return (
         texts.groupBy(F.sha2("text", 256).alias("_sha"))
-        .agg(F.min("_id").alias("_id"), F.min("_tid").alias("_tid"), F.count("*").alias("copies"))
+        .agg(F.min("_id").alias("_id"), F.min("_tid").alias("_other"), F.count("*").alias("copies"))
         .drop("_sha")
     )
 
@@ -134,7 +134,7 @@ def first_copies(texts: DataFrame) -> DataFrame:
 def _anchor_rows(windows: Windows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, tids = (np.asarray(batch.column(i)) for i in (0, 1))
+            ids = np.asarray(batch.column(0))
             for at, _, texts in each_piece(batch.column(2)):
                 found = anchor_segments(*windows.symbols(texts), windows)
                 order = np.lexsort((found.anchor, found.owner))
@@ -144,8 +144,8 @@ def _anchor_rows(windows: Windows) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 begin = np.flatnonzero(new)
                 n = np.diff(np.append(begin, len(order)))
                 rows = owner[begin] + at
-                columns = [anchor[begin].view(np.int64), ids[rows], tids[rows], n]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "_id", "_tid", "n"])
+                columns = [anchor[begin].view(np.int64), ids[rows], n]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "_id", "n"])
 
     return run
 
@@ -219,8 +219,8 @@ class Shard:
     places: list[np.ndarray]  # for each segment (id, tid, first start), least first
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
-    """Whole keys, some ``CHUNK`` bytes at a time; rows come sorted by key."""
+def _shards(batches: Iterator[pa.RecordBatch], dealt: bool) -> Iterator[Shard]:
+    """Whole keys, dealt ones or the others, some ``CHUNK`` bytes at a time; rows come sorted by key."""
     found: dict[tuple[int, bytes], list[bytes]] = {}
     hot_of: dict[int, bool] = {}
     size, last = 0, None
@@ -239,6 +239,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
         )
 
     for batch in batches:
+        batch = batch.filter(pc.equal(batch.column(1), dealt))
         columns = [batch.column(i).to_pylist() for i in range(4)]
         for key, hot, segment, places in zip(*columns, strict=True):
             if key != last and size > CHUNK:
@@ -270,8 +271,7 @@ class Ranges:
         n = len(place)
         if n:
             begin, end = place[:, 2] + first, place[:, 2] + last
-            own = mix(place[:, 1].view(np.uint64) ^ mix(begin.astype(np.uint64))).view(np.int64)
-            self.rows.append((place[:, 0], place[:, 1], begin, end, own, begin, np.zeros(n, bool)))
+            self.rows.append((place[:, 0], place[:, 1], begin, end, place[:, 1], begin, np.zeros(n, bool)))
 
     def add_open(self, place: np.ndarray, starts: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         """Distinct windows of a dealt key, to be compared with those of its other shards."""
@@ -312,44 +312,58 @@ def repeated_starts(docs: DataFrame, windows: Windows, kernel: Kernel, keep_firs
     """
     texts = keyed_texts(docs)
     firsts = first_copies(texts).hint("shuffle_hash")
-    distinct = texts.join(firsts, _KEY)
-    anchors = distinct.select(*_KEY, "text").mapInArrow(_anchor_rows(windows), "a long, _id long, _tid long, n long")
-    total = anchors.groupBy("a").agg(F.sum("n").alias("total")).where("total > 1")
-    # Joined on another expression than the grouping key, so both sides get a plain
-    # exchange and adaptive execution can split an anchor that many texts share.
-    hits = anchors.select(F.bitwise_not("a").alias("b"), "a", *_KEY).join(
-        total.select(F.bitwise_not("a").alias("b"), "total"), "b"
-    )
-    by_text = hits.groupBy(*_KEY).agg(F.collect_list(F.struct("a", "total")).alias("hits"))
+
+    def with_copies(how: str) -> DataFrame:
+        # The texts meet every other side by ``_id`` alone, so that they are shuffled once.
+        same_text = (texts["_id"] == firsts["_id"]) & (texts["_tid"] - firsts["_other"] == 0)
+        return texts.join(firsts, same_text, how).drop(firsts["_id"]).drop("_other")
+
+    distinct = with_copies("inner")
+    rows = distinct.select(*_KEY, "text").mapInArrow(_anchor_rows(windows), "a long, _id long, n long")
+    # The anchor travels under another value than its counts were grouped by, so both sides of
+    # the join get a plain exchange and adaptive execution can split a frequent anchor.
+    flipped = F.bitwise_not("a").alias("b")
+    total = rows.groupBy("a").agg(F.sum("n").alias("total")).where("total > 1")
+    hits = rows.select(flipped, "_id").join(total.select(flipped, "total"), "b")
+    by_text = hits.groupBy("_id").agg(F.collect_list(F.struct(F.bitwise_not("b").alias("a"), "total")).alias("hits"))
     segments = (
-        distinct.join(by_text.hint("shuffle_hash"), _KEY)
+        distinct.join(by_text.hint("shuffle_hash"), "_id")
         .select(*_KEY, "text", "hits")
         .mapInArrow(_segment_rows(windows, shard), "key long, hot boolean, segment binary, places binary")
     )
+    shards = segments.repartition("key").sortWithinPartitions("key")
+
+    def judge(dealt: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for own in _shards(batches, dealt):
+                ranges = Ranges([])
+                kernel(own, windows, ranges)
+                if ranges.rows:
+                    yield ranges.batch()
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own in _shards(batches):
-            ranges = Ranges([])
-            kernel(own, windows, ranges)
-            if ranges.rows:
-                yield ranges.batch()
+        return run
 
-    found = segments.repartition("key").sortWithinPartitions("key").mapInArrow(judge, FOUND)
+    # The shards are read twice, so that only the few windows of dealt anchors are shuffled again.
+    whole = shards.mapInArrow(judge(False), FOUND).select(*_KEY, "s", "e")
     same = Window.partitionBy("w1", "w2")
     if keep_first:
-        again = F.row_number().over(same.orderBy("_id", "_tid", "s")) > 1
+        again = F.row_number().over(same.orderBy(*_KEY, "s")) > 1
     else:
         again = F.count("*").over(same) > 1
-    spans = (
-        found.withColumn("again", again)
+    dealt = (
+        shards.mapInArrow(judge(True), FOUND)
+        .withColumn("again", again)
         .where(~F.col("hot") | F.col("again"))
-        .groupBy(*_KEY)
-        .agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+        .select(*_KEY, "s", "e")
     )
+    spans = whole.union(dealt).groupBy("_id").agg(F.collect_list(F.struct("_tid", "s", "e")).alias("spans"))
+    own = F.filter("spans", lambda x: x["_tid"] == F.col("_tid"))
+    # The id is made from its key: with the same columns as above, the texts' shuffle is used again.
+    doc_id = F.when(F.col("_id") < _NULL_ID, F.col("_id")).cast(docs.schema["doc_id"].dataType)
     return (
-        texts.join(firsts, _KEY, "left")
-        .join(spans.hint("shuffle_hash"), _KEY, "left")
-        .select("doc_id", "text", "copies", "spans")
+        with_copies("left")
+        .join(spans.hint("shuffle_hash"), "_id", "left")
+        .select(doc_id.alias("doc_id"), "text", "copies", own.alias("spans"))
     )
 
 

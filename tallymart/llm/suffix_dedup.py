@@ -7,7 +7,7 @@ tries for the groups that still share a prefix. Equal neighbours are repeats.
 
 Edge cases: a null text is empty; a text shorter than the window keeps all its
 bytes; rows that repeat id and text are one document and get equal results; a
-null id counts as the largest; an empty table gives an empty result. Only
+null ids come last; an empty table gives an empty result. Only
 ``doc_id`` and ``text`` are read, so other columns do not matter.
 """
 
@@ -24,7 +24,7 @@ from tallymart.llm.repeats import Ranges, Shard, Windows, covered, repeated_star
 from tallymart.llm.text import byte_values
 
 SHALLOW = 32
-WINDOWS = Windows(length=100, anchor=24, words=False)
+WINDOWS = Windows(length=100, anchor=20, words=False)
 
 
 class BlindTrie:
