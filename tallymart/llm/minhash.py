@@ -8,14 +8,15 @@ with the concentration of independent hashes, at one hash per shingle for all
 but short texts.
 
 Texts with equal sets are one node. Nodes that agree in a whole band meet in a
-bucket. Each bucket first compares all its nodes with two of them, its least and
-greatest node: a number of pairs linear in its size. Confirmed links make
-components, and only buckets with several components look further: their nodes
-are dealt into blocks, and pairs of blocks compare sketches for nodes of
-different components. Every pair that is reported is confirmed on the full sets.
-At a similarity of 0.85 a pair misses all bands with a chance below 1e-6, and
-the estimate falls below ``LEAST`` with a chance of about 1e-5; only a pair that
-is the sole bridge between two components matters.
+bucket, and each bucket compares all its nodes with its least one: a number of
+pairs linear in its size. Confirmed links make components. Only where nodes that
+buckets connect still fall into several components is there more to find: each
+node outside the largest component of such a group meets the others, block by
+block, and those with near sketches are confirmed until they are joined. Every
+link is confirmed on the full sets. At a similarity of 0.85 a pair misses all
+bands with a chance below 1e-6, and the estimate falls below ``LEAST`` with a
+chance of about 1e-5; only a pair that is the sole bridge between two components
+matters.
 
 Edge cases: a null or empty text, or one without words, has an empty set and is
 linked with nothing; fewer words than a shingle are one shingle; rows that
@@ -132,17 +133,20 @@ def _set_rows(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["node", "elements"])
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def _exact_rows(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        linked = []
-        for one, other in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = np.frombuffer(one.as_py(), np.uint64), np.frombuffer(other.as_py(), np.uint64)
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                linked.append(False)
-                continue
-            both = np.sort(np.concatenate([x, y]), kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            linked.append(100 * common >= percent * (len(both) - common))
+        linked = [
+            _similar(np.frombuffer(one.as_py(), np.uint64), np.frombuffer(other.as_py(), np.uint64), percent)
+            for one, other in zip(batch.column(2), batch.column(3), strict=True)
+        ]
         yield pa.RecordBatch.from_arrays(
             [c.filter(pa.array(linked, pa.bool_())) for c in batch.columns[:2]], ["a", "b"]
         )
@@ -155,34 +159,43 @@ def _estimate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([c.filter(near) for c in batch.columns[:2]], ["a", "b"])
 
 
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different labels with near sketches, for whole groups of rows sorted by key and side."""
+def _open_links(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of rows of side 0 with rows of side 1 that join different labels; rows come sorted by key."""
     held: list[tuple] = []
     last = None
 
-    def pairs() -> pa.RecordBatch:
-        node = np.array([h[2] for h in held], np.int64)
-        side = np.array([h[1] for h in held], np.int64)
-        label = np.array([h[3] for h in held], np.int64)
-        table = np.frombuffer(b"".join(h[4] for h in held), np.uint16).reshape(-1, SIZE)
-        one, two = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    def links() -> pa.RecordBatch:
+        one, two = [h for h in held if h[1] == 0], [h for h in held if h[1] == 1]
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
         found = []
-        for i in one.tolist():  # side 2 is both, of a block with itself
-            js = two[(label[two] != label[i]) & ((side[i] != 2) | (two > i))]
-            near = (table[js] == table[i]).mean(axis=1) >= LEAST
-            found += [(min(int(node[i]), x), max(int(node[i]), x)) for x in node[js[near]].tolist()]
+        if one and two:
+            table = np.frombuffer(b"".join(h[4] for h in two), np.uint16).reshape(-1, SIZE)
+            sets = [np.frombuffer(h[5], np.uint64) for h in two]
+            for _, _, node, label, sketch, elements in one:
+                own = np.frombuffer(elements, np.uint64)
+                near = (table == np.frombuffer(sketch, np.uint16)).mean(axis=1)
+                for i in np.argsort(-near, kind="stable")[: int((near >= LEAST).sum())].tolist():
+                    if find(two[i][3]) != find(label) and _similar(own, sets[i], percent):
+                        found.append((node, two[i][2]))
+                        root[find(two[i][3])] = find(label)
         columns = list(zip(*found, strict=True)) if found else ([], [])
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if row[0] != last and held:
-                yield pairs()
+                yield links()
                 held = []
             last = row[0]
             held.append(row)
     if held:
-        yield pairs()
+        yield links()
 
 
 def _linked(pairs: DataFrame, sketched: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -221,20 +234,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     other = F.bitwise_not("bucket").alias("other")
     buckets = (
         placed.groupBy("bucket")
-        .agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("members"))
+        .agg(F.min("node").alias("least"), F.count("*").alias("members"))
         .where("members > 1")
-        .select(other, "least", "most", "members")
+        .select(other, "least")
     )
-    shared = written(placed.select(other, "node").join(buckets, "other"))
-    ends = F.explode(F.array_distinct(F.array("least", "most"))).alias("end")
     star = written(
-        shared.select("node", ends)
-        .where("node != end")
-        .select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b"))
+        placed.select(other, "node")
+        .join(buckets, "other")
+        .where("node != least")
+        .select(F.col("least").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
-    needed = shared.select("node").distinct()
-    chosen = nodes.join(needed, "node").select("node", "_id", F.col("_tid").alias("_other"))
+    groups = written(components(star).withColumnRenamed("label", "group"))
+    chosen = nodes.join(groups.select("node"), "node").select("node", "_id", F.col("_tid").alias("_other"))
     sets = written(
         texts.select("_id", "_tid", "text")
         .join(chosen.hint("shuffle_hash"), "_id")
@@ -246,34 +258,48 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     links = written(_linked(star, nodes, sets, percent))
     labels = components(links)
 
-    # Buckets that still hold several components: all their pairs of different labels, in blocks.
-    label = F.coalesce("label", "node").alias("label")
-    labelled = shared.where("members > 2").join(labels, "node", "left").select("other", "node", label, "members")
-    split = labelled.groupBy("other").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l != m")
-    open_ = labelled.select(F.bitwise_not("other").alias("bucket"), "node", "label", "members").join(
-        split.select(F.bitwise_not("other").alias("bucket")), "bucket"
-    )
-    n_blocks = F.ceil(F.col("members") / BLOCK).cast("long")
-    own = F.pmod(F.xxhash64("node"), n_blocks)
-    partners = F.transform(
-        F.sequence(F.lit(0).cast("long"), n_blocks - 1),
-        lambda p: F.struct(
-            F.xxhash64("bucket", F.least(F.col("block"), p), F.greatest(F.col("block"), p)).alias("key"),
-            F.when(p == F.col("block"), 2).when(F.col("block") < p, 0).otherwise(1).cast("long").alias("side"),
-        ),
+    # Groups of buckets that still hold several components: every node outside the largest one
+    # meets all others of its group, block by block.
+    grouped = written(
+        groups.join(labels, "node", "left").select("node", "group", F.coalesce("label", "node").alias("label"))
     )
-    rest = (
-        open_.withColumn("block", own)
+    flipped = F.bitwise_not("group").alias("flipped")
+    open_groups = (
+        grouped.groupBy("group", "label")
+        .agg(F.count("*").alias("n"))
+        .groupBy("group")
+        .agg(F.max_by("label", "n").alias("main"), F.max("n").alias("largest"), F.sum("n").alias("members"))
+        .where("members > 2 and members > largest")
+        .select(
+            flipped, "main", F.ceil(F.col("members") / BLOCK).alias("right"),
+            F.ceil((F.col("members") - F.col("largest")) / BLOCK).alias("left"),
+        )
+    )
+    whole = (
+        grouped.select(flipped, "node", "label")
+        .join(open_groups, "flipped")
         .join(nodes.select("node", "sketch"), "node")
-        .select(F.inline(partners), "node", "label", "sketch")
+        .join(sets, "node")
+    )
+
+    def dealt(side: int, own: str, others: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("node"), F.col(own))
+        pair = (lambda i: (block, i)) if side == 0 else (lambda i: (i, block))
+        keys = F.transform(F.sequence(F.lit(0).cast("long"), F.col(others) - 1), lambda i: F.xxhash64("flipped", *pair(i)))
+        rows_of = whole.where("label != main") if side == 0 else whole
+        return rows_of.select(
+            F.explode(keys).alias("key"), F.lit(side).cast("long").alias("side"), "node", "label", "sketch", "elements"
+        )
+
+    more = written(
+        dealt(0, "left", "right")
+        .union(dealt(1, "right", "left"))
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_block_pairs, "a long, b long")
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
+        .mapInArrow(partial(_open_links, percent), "a long, b long")
     )
-    more = written(_linked(rest, nodes, sets, percent))
-    labels = components(links.union(more))
+    if not more.isEmpty():
+        labels = components(links.union(more))
 
     labelled = rows.join(labels, "node", "left").select(
         "_id", "_tid", "n", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label")
