@@ -226,7 +226,7 @@ def _with_templates(docs: DataFrame, min_docs: int, carried: Column) -> DataFram
     by_text = listed.groupBy("_id").agg(F.collect_list("leaf").alias("leaves"))
     templates = written(
         texts.join(by_text.hint("shuffle_hash"), "_id")
-        .select("_id", "text", "leaves")
+        .select("_id", "text", "leaves", "carried")  # all columns, so that the texts' shuffle is used again
         .mapInArrow(_batch_templates, f"leaf long, template binary, docs long, {_PLACE}")
         .repartition("leaf")
         .sortWithinPartitions("leaf", F.desc("docs"), "template", "first_id", "first_line")
