@@ -23,7 +23,8 @@ def components(links: DataFrame) -> DataFrame:
     neighbourhood to a star around its least node; the rounds grow with the
     logarithm of the longest path.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
+    # Written before the first round as well: the optimizer would multiply the conditions of a lazy one.
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
