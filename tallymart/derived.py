@@ -151,8 +151,11 @@ SHEETS = ("orders", "people", "returns")
 
 
 def write_batch(batch: Sheets, path: str, names: Sequence[str] = SHEETS) -> str:
-    """Write the (named) sheets as a batch folder of CSV exports."""
+    """Write the (named) sheets as a batch folder of CSV exports; a whole batch gets its READY marker last."""
     options = {k: v for k, v in CSV_OPTIONS.items() if k != "mode"} | {"nullValue": ""}
     for name in names:
         getattr(batch, name).write.options(**options).csv(f"{path}/{name}")
+    if tuple(names) == SHEETS:
+        marker = batch.orders.sparkSession.createDataFrame([("ready",)], "value string")
+        marker.coalesce(1).write.text(f"{path}/READY")
     return path

@@ -86,6 +86,8 @@ def as_export_text(df: DataFrame, resolutions: Mapping[str, str]) -> DataFrame:
             column = F.initcap(column.cast("string"))
         elif isinstance(field.dataType, T.DoubleType):
             column = float_text(column)
+        elif isinstance(field.dataType, T.FloatType):
+            column = float_text(column.cast("string").cast("double"))  # by its own shortest digits
         elif is_datetime(field.dataType):
             unit = resolutions.get(field.name, "second")
             column = F.date_format(column, DATETIME_FORMATS[unit])

@@ -97,5 +97,6 @@ def head_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
 
 
 def tail_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
-    """The last ``n`` rows in ``order``."""
-    return df.orderBy(*[F.desc_nulls_first(c) for c in order]).limit(n)
+    """The last ``n`` rows, in ``order``; every task keeps its own ``n`` only."""
+    last = df.orderBy(*[F.desc_nulls_first(c) for c in order]).limit(n)
+    return last.orderBy(*[F.asc_nulls_last(c) for c in order])

@@ -9,9 +9,9 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 # Adaptive execution carries the plans: it measures shuffles before it
-# broadcasts, splits skewed join partitions and merges small ones. The session
-# starts many shuffle partitions and lets it coalesce, so one setting serves
-# small and very large batches.
+# broadcasts, splits skewed join partitions and merges small ones. The number of
+# shuffle partitions stays Spark's default unless it is given: set it to about
+# the shuffled bytes over 200 MB; smaller batches are coalesced.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -49,7 +49,7 @@ def export_delimited(
     """
     text = as_export_text(df, datetime_resolutions(df) if resolutions is None else resolutions)
     if single_file:
-        text = text.coalesce(1)
+        text = text.repartition(1)  # only the write is single, not what makes the rows
     text.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 

@@ -234,7 +234,7 @@ def test_contract_checks(spark):
 def test_head_and_tail(spark):
     df = spark.range(20).selectExpr("id", "CAST(id AS string) AS s").repartition(5)
     assert [r["id"] for r in head_rows(df, ["id"], 4).collect()] == [0, 1, 2, 3]
-    assert [r["id"] for r in tail_rows(df, ["id"], 4).collect()] == [19, 18, 17, 16]
+    assert [r["id"] for r in tail_rows(df, ["id"], 4).collect()] == [16, 17, 18, 19]
     assert "TakeOrderedAndProject" in head_rows(df, ["id"])._jdf.queryExecution().executedPlan().toString()
 
 

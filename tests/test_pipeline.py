@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 import pytest
@@ -175,3 +176,21 @@ def test_run_takes_a_parquet_batch(spark, schema, tmp_path):
         getattr(sheets, name).write.parquet(f"{tmp_path}/b/{name}")
     run(spark, f"{tmp_path}/b", schema, fmt="parquet")
     assert len(loaded(spark, schema)["orders"]) == 3
+
+
+def test_only_whole_batches_are_ingested_whatever_their_age(spark, schema, tmp_path):
+    landing, checkpoint = tmp_path / "landing", str(tmp_path / "stream")
+    derived.write_batch(batch(spark, FIRST, ["O-1", "O-1"]), str(landing / "b1"))
+    ingest_available(spark, str(landing), schema, checkpoint)
+    before = loaded(spark, schema)
+    late = batch(spark, [{"Order ID": "O-9", "Sales": 5.555}])
+    for name in derived.SHEETS:
+        derived.write_batch(late, str(landing / "b2"), [name])
+        ingest_available(spark, str(landing), schema, checkpoint)
+        assert loaded(spark, schema) == before
+    (landing / "b2" / "READY").write_text("ready")
+    month = 30 * 24 * 3600
+    for path in [p for p in (landing / "b2").rglob("*") if p.is_file()]:
+        os.utime(path, (path.stat().st_mtime - month,) * 2)
+    ingest_available(spark, str(landing), schema, checkpoint)
+    assert len(loaded(spark, schema)["orders"]) == len(before["orders"]) + 1

@@ -10,6 +10,7 @@ from pathlib import Path
 import pandas as pd
 import pytest
 
+from tallymart.functions.export_text import as_export_text
 from tallymart.schemas import ORDERS_SHEET, RETURNS_SHEET
 from tallymart.session import build_session, fresh_path, shared_folder
 from tallymart.sinks import (
@@ -229,3 +230,20 @@ def test_conform_casts_typed_columns(spark):
 
 def test_build_session_reuses_the_session(spark):
     assert build_session("again", "local[8]").sparkContext.applicationId == spark.sparkContext.applicationId
+
+
+@pytest.mark.parametrize("buckets", [0, 2])
+def test_a_failing_overwrite_leaves_the_old_rows(spark, schema, buckets):
+    table, layout = f"{schema}.kept", Layout(("id",), buckets)
+    overwrite(spark.range(5), table, layout)
+    failing = spark.range(3).selectExpr("if(id = 2, raise_error('bad cell'), id) AS id")
+    with pytest.raises(Exception, match="bad cell"):
+        overwrite(failing, table, layout)
+    assert spark.table(table).count() == 5
+    overwrite(spark.range(7), table, layout)
+    assert spark.table(table).count() == 7
+
+
+def test_float_columns_are_exported_by_their_own_digits(spark):
+    df = spark.sql("SELECT CAST('1e20' AS FLOAT) AS a, CAST('12345678' AS FLOAT) AS b")
+    assert tuple(as_export_text(df, {}).first()) == ("1e+20", "12345678.0")
