@@ -20,9 +20,13 @@ tables give an empty result or no match. Only the named columns are read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.llm.storage import written
+
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 23
@@ -104,35 +108,41 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark_items(benchmark)
     texts = _keyed(docs).select(*_KEY, words_of(F.col("text")).alias("words"))
     grams = items.select("_item", "size", "n", F.posexplode("item_shingles").alias("place", "gram")).select(
-        "_item", "size", "n", "place", F.xxhash64("gram").alias("h")
+        "_item", "size", "n", "place", F.xxhash64(F.split("gram", " ")).alias("h")
     )
     bounded = grams.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     small = (lambda df: F.broadcast(df)) if bounded else (lambda df: df)
     # Almost always only 5; shorter items add the lengths of their only shingle.
     lengths = sorted(r.n for r in items.select("n").distinct().collect()) or [SHINGLE]
 
-    def placed(n: int) -> Column:
-        def hashed(i: Column) -> Column:
-            gram = F.array_join(F.slice("words", i + 1, n), " ")
-            return F.struct(i.alias("at"), F.lit(n).alias("n"), F.xxhash64(gram).alias("h"))
+    def spots_of(n: int) -> DataFrame:
+        # The hash of an array of words is that of the words one by one, so no shingle is built here.
+        hashes = F.transform(_starts(F.col("words"), F.lit(n)), lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(n)]))
+        return texts.select(*_KEY, F.posexplode(hashes).alias("at", "h"), F.lit(n).alias("n"))  # rows without the words
 
-        return F.transform(_starts(F.col("words"), F.lit(n)), hashed)
-
-    hashed = F.concat(*[placed(n) for n in lengths])
-    spots = texts.select(*_KEY, F.size("words").alias("n_words"), F.explode(hashed).alias("g")).select(
-        *_KEY, "n_words", F.col("g.at").alias("at"), F.col("g.n").alias("n"), F.col("g.h").alias("h")
-    )
-    last = F.greatest(F.lit(0), F.col("n_words") - F.col("size"))
+    spots = reduce(DataFrame.union, [spots_of(n) for n in lengths])
     proposed = (
         spots.join(small(grams), ["h", "n"])
-        .select(*_KEY, "_item", "size", "n", F.greatest(F.lit(0), F.least(last, F.col("at") - F.col("place"))).alias("start"))
+        .select(*_KEY, "_item", "size", "n", F.greatest(F.lit(0), F.col("at") - F.col("place")).alias("start"))
         .distinct()
     )
-    per_text = proposed.groupBy(*_KEY).agg(F.collect_list(F.struct("_item", "size", "n", "start")).alias("windows"))
-    windows = (
-        texts.join(per_text, _KEY)
+
+    def within(w: Column) -> Column:
+        """The window moved back to end with the text."""
+        last = F.greatest(F.lit(0), F.size("words") - w["size"])
+        return w.withField("start", F.least(last, w["start"]))
+
+    # Written, so that its size is known before the texts are joined and each step runs once.
+    per_text = written(
+        proposed.groupBy(*_KEY).agg(F.collect_list(F.struct("_item", "size", "n", "start")).alias("windows"))
+    )
+    windows = written(
+        _keyed(docs)
+        .select(*_KEY, "text")
+        .join(per_text, _KEY)
         .dropDuplicates(_KEY)
-        .select(*_KEY, "words", F.explode("windows").alias("w"))
+        .select(*_KEY, "windows", words_of(F.col("text")).alias("words"))
+        .select(*_KEY, "words", F.explode(F.array_distinct(F.transform("windows", within))).alias("w"))
         .select(*_KEY, "w.*", F.slice("words", F.col("w.start") + 1, F.col("w.size")).alias("own"))
         .select(*_KEY, "_item", "size", "start", shingles(F.col("own"), F.least(F.col("n"), F.size("own"))).alias("own"))
         .withColumn("own_hash", simhash(F.col("own")))
