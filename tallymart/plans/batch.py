@@ -87,8 +87,9 @@ def load(
     """Load the star tables into schema ``target``.
 
     The four loads are independent and submitted together, so small tables do
-    not wait for large ones. A merge reads its source twice; the sources in
-    ``restage``, small results of larger work, go through a staging table.
+    not wait for large ones. A merge into a bucketed table reads its source
+    twice; there the sources in ``restage``, small results of larger work, go
+    through a staging table.
     """
 
     def one(name: str) -> None:
@@ -97,7 +98,7 @@ def load(
         if mode == "overwrite":
             overwrite(sources[name], table, layout)
             return
-        if name not in restage:
+        if name not in restage or not buckets:
             merge_insert_only(spark, sources[name], table, keys, layout)
             return
         staged = stage(sources[name], table)
@@ -145,6 +146,16 @@ def run_sheets(
         drop_stage(spark, lines_table)
 
 
-def run(spark: SparkSession, batch: str, target: str, fmt: str = "csv", **options) -> None:
+def run(
+    spark: SparkSession,
+    batch: str,
+    target: str,
+    fmt: str = "csv",
+    *,
+    date_format: str | None = None,
+    multi_line: bool = False,
+    **options,
+) -> None:
     """Load the batch at path ``batch`` into schema ``target``."""
-    run_sheets(spark, read_sheets(spark, batch, fmt), target, **options)
+    sheets = read_sheets(spark, batch, fmt, date_format=date_format, multi_line=multi_line)
+    run_sheets(spark, sheets, target, **options)

@@ -34,5 +34,11 @@ def read_scripts(spark: SparkSession, folder: str, suffix: str = SUFFIX) -> dict
 
 def run_script(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
     """The query as a lazy DataFrame. Without ``tables`` the text runs as it
-    is; with them, ``{name}`` in the text stands for the given DataFrame."""
-    return spark.sql(text, **tables) if tables else spark.sql(text)
+    is; with them, ``{name}`` in the text stands for the given DataFrame, and
+    every other brace for itself."""
+    if not tables:
+        return spark.sql(text)
+    text = text.replace("{", "{{").replace("}", "}}")
+    for name in tables:
+        text = text.replace(f"{{{{{name}}}}}", f"{{{name}}}")
+    return spark.sql(text, **tables)

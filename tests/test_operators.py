@@ -281,6 +281,15 @@ def test_duplicate_rows_all_splits_a_hot_key(spark, skewed):
     assert found.count() == 20000
 
 
+def test_rows_to_insert_splits_missing_keys(spark, skewed, tmp_path):
+    target = str(tmp_path / "target")
+    skewed.where("order_id <> 'hot' AND n % 2 = 0").select("order_id").write.parquet(target)
+    source = skewed.withColumn("order_id", F.expr("nullif(order_id, 'hot')"))
+    new = rows_to_insert(source, spark.read.parquet(target), ["order_id"])
+    assert "SortMergeJoin(skew=true)" in final_plan(new)
+    assert new.where("order_id IS NULL").count() == 20000
+
+
 def test_rows_to_insert_splits_a_hot_key(spark, skewed, tmp_path):
     target = str(tmp_path / "target")
     skewed.where("order_id <> 'hot' AND n % 2 = 0").select("order_id").write.parquet(target)

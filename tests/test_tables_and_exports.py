@@ -211,10 +211,36 @@ def test_read_sheet_fails_on_a_cell_that_does_not_fit(spark, tmp_path):
         read_sheet(spark, path, ORDERS_SHEET).collect()
 
 
-def test_read_sheet_rejects_other_headers(spark, tmp_path):
-    path = write_csv(tmp_path / "returns", ["Order ID", "Returned"], ["O-1", "Yes"])
+def test_read_sheet_finds_columns_by_name(spark, tmp_path):
+    path = write_csv(tmp_path / "returns", ["note", " Order-ID", "RETURNED "], ["x", "O-1", "Yes"])
+    df = read_sheet(spark, path, RETURNS_SHEET)
+    assert df.columns == list(RETURNS_SHEET) and rows(df) == [("Yes", "O-1")]
+
+
+@pytest.mark.parametrize("header", [["Order ID", "note"], ["Order ID", "Returned", "returned"]])
+def test_read_sheet_names_an_absent_or_doubled_column(spark, tmp_path, header):
+    path = write_csv(tmp_path / "returns", header, ["x"] * len(header))
+    with pytest.raises(ValueError, match="needs one column 'Returned'"):
+        read_sheet(spark, path, RETURNS_SHEET)
+
+
+def test_read_sheet_rejects_files_with_unlike_headers(spark, tmp_path):
+    path = Path(write_csv(tmp_path / "returns", ["Order ID", "Returned"], ["O-1", "Yes"]))
+    (path / "more.csv").write_text("Returned,Order ID\nYes,O-2\n", encoding="utf-8")
     with pytest.raises(Exception, match="(?i)header"):
-        read_sheet(spark, path, RETURNS_SHEET).collect()
+        read_sheet(spark, str(path), RETURNS_SHEET).collect()
+
+
+def test_read_sheet_with_line_breaks_in_cells(spark, tmp_path):
+    path = write_csv(tmp_path / "returns", RETURNS_SHEET, ["Yes", "O\n1"], ["No", "O-2"])
+    assert rows(read_sheet(spark, path, RETURNS_SHEET, multi_line=True)) == [("No", "O-2"), ("Yes", "O\n1")]
+
+
+def test_read_sheet_with_a_date_format(spark, tmp_path):
+    line = ORDER_LINE | {"Order Date": "1/2/2021", "Ship Date": "N/A"}
+    path = write_csv(tmp_path / "orders", ORDER_LINE, line.values())
+    first = read_sheet(spark, path, ORDERS_SHEET, date_format="M/d/yyyy").first()
+    assert (first["Order Date"], first["Ship Date"]) == (datetime(2021, 1, 2), None)
 
 
 def test_read_sheet_from_parquet(spark, tmp_path):
@@ -247,3 +273,8 @@ def test_a_failing_overwrite_leaves_the_old_rows(spark, schema, buckets):
 def test_float_columns_are_exported_by_their_own_digits(spark):
     df = spark.sql("SELECT CAST('1e20' AS FLOAT) AS a, CAST('12345678' AS FLOAT) AS b")
     assert tuple(as_export_text(df, {}).first()) == ("1e+20", "12345678.0")
+
+
+def test_run_script_keeps_other_braces(spark):
+    text = "SELECT get_json_object('{\"a\": {\"k\": 1}}', '$.a.k') AS x, k FROM {t}"
+    assert rows(run_script(spark, text, t=frame(spark, ("b", 2)))) == [("1", "b")]
