@@ -5,9 +5,10 @@ Paths through boilerplate (by tag, or by a word of class, id or role) are out.
 For every other path the text length and the punctuation of its blocks are
 summed and divided by their number; both ratios are smoothed over the blocks in
 page order with a Gaussian kernel, multiplied, and blocks of paths at or above
-the threshold (a share of the standard deviation) are content. An article or
-main element is taken whole when it has content or is all there is, with its
-headings and short paragraphs; without one, headings beside content paths come along.
+the threshold (a share of the standard deviation) are content, on every page. An
+article or main element only extends what it holds: when it, or one inside it, has
+content, its own headings and paragraphs come along, but not those of an article
+inside it without content. Elsewhere headings beside content paths come along.
 
 Edge cases: null or empty html gives an empty text; unclosed and cut-off tags,
 comments and character references are read as browsers do, a broken last tag is
@@ -35,6 +36,8 @@ BLOCK = frozenset(
     "select summary table tbody td tfoot th thead tr ul".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Ends of paths that an article with content takes along: headings, paragraphs and text right in it.
+OWN_TEXT = HEADINGS | {"p", "article", "main"}
 #: An open element that the start of another one closes.
 CLOSES = {
     "li": {"li"},
@@ -75,10 +78,11 @@ def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
-    """The blocks of text in page order: path, whether boilerplate, whether in an article, text."""
-    out: list[tuple[tuple[str, ...], bool, bool, str]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, in an article
+def blocks(page: str) -> list[tuple[tuple[str, ...], bool, tuple[int, ...], str]]:
+    """The blocks of text in page order: path, whether boilerplate, the articles around it from the outermost, text."""
+    out: list[tuple[tuple[str, ...], bool, tuple[int, ...], str]] = []
+    stack: list[tuple[str, bool, tuple[int, ...]]] = []  # tag, boilerplate, articles around
+    articles = 0
     text: list[str] = []
 
     def flush() -> None:
@@ -86,7 +90,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
         text.clear()
         if words:
             path = tuple(t for t, _, _ in stack if t in BLOCK)
-            out.append((path, bool(stack) and stack[-1][1], bool(stack) and stack[-1][2], " ".join(words)))
+            out.append((path, bool(stack) and stack[-1][1], stack[-1][2] if stack else (), " ".join(words)))
 
     at = 0
     while True:
@@ -128,9 +132,11 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
                     break
         if tag in VOID:
             continue
-        _, outer, inside = stack[-1] if stack else ("", False, False)
-        inside = inside or tag in ("article", "main")
-        stack.append((tag, outer or _is_boilerplate(tag, match[3] or "", inside), inside))
+        _, outer, inside = stack[-1] if stack else ("", False, ())
+        if tag in ("article", "main"):
+            articles += 1
+            inside = (*inside, articles)
+        stack.append((tag, outer or _is_boilerplate(tag, match[3] or "", bool(inside)), inside))
     flush()
     return out
 
@@ -140,7 +146,7 @@ def _smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(padded, _KERNEL, "valid")
 
 
-def path_scores(found: list[tuple[tuple[str, ...], bool, bool, str]]) -> np.ndarray:
+def path_scores(found: list[tuple[tuple[str, ...], bool, tuple[int, ...], str]]) -> np.ndarray:
     """The fused, smoothed ratio of each block's path."""
     sums: dict[tuple[str, ...], list[float]] = {}
     for path, _, _, text in found:
@@ -165,13 +171,14 @@ def main_text(page: str | None) -> str:
         return ""
     scores = path_scores(found)
     content = scores >= THRESHOLD * scores.std()
-    inside = np.array([b[2] for b in found])
-    if inside.any():
-        chosen = inside
-    else:
-        parents = {b[0][:-1] for b, c in zip(found, content, strict=True) if c}
-        heading = np.array([bool(b[0]) and b[0][-1] in HEADINGS and b[0][:-1] in parents for b in found])
-        chosen = content | heading
+    parents = {b[0][:-1] for b, c in zip(found, content, strict=True) if c}
+    holding = {a for b, c in zip(found, content, strict=True) if c for a in b[2]}
+    along = []
+    for path, _, inside, _ in found:
+        last = path[-1] if path else ""
+        own = bool(inside) and inside[-1] in holding
+        along.append((own and last in OWN_TEXT) or (not inside and last in HEADINGS and path[:-1] in parents))
+    chosen = content | np.array(along)
     return "\n\n".join(b[3] for b, c in zip(found, chosen, strict=True) if c)
 
 

@@ -318,3 +318,13 @@ def test_empty_tables(spark, empty, benchmark):
         decontaminate.contamination(empty, benchmark.limit(0)),
     ]
     assert all(df.count() == 0 for df in results)
+
+
+def test_article_elements_that_are_teasers_do_not_hide_the_text():
+    body = "".join(f"<p>Paragraph {i} of the body, with commas, and a good deal of prose. It goes on; it ends here.</p>" for i in range(8))
+    teasers = "".join(f"<article><h3>Card {i}</h3><p>More.</p></article>" for i in range(4))
+    text = html_text.main_text(f"<body><div><h1>Title</h1>{body}</div>{teasers}</body>")
+    assert text.startswith("Title\n\nParagraph 0") and "Paragraph 7" in text and "Card" not in text and "More." not in text
+    links = "<ul>" + "<li><a href='/'>Link</a></li>" * 9 + "</ul>"
+    text = html_text.main_text(f"<body><main><h1>Title</h1><article><h2>Part</h2>{body}<p>So.</p>{links}</article></main>{teasers}</body>")
+    assert text.startswith("Title\n\nPart\n\nParagraph 0") and text.endswith("So.") and "Link" not in text
