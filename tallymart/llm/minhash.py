@@ -13,10 +13,14 @@ pairs linear in its size. Confirmed links make components. Only where nodes that
 buckets connect still fall into several components is there more to find: each
 node outside the largest component of such a group meets the others, block by
 block, and those with near sketches are confirmed until they are joined. Every
-link is confirmed on the full sets. At a similarity of 0.85 a pair misses all
-bands with a chance below 1e-6, and the estimate falls below ``LEAST`` with a
-chance of about 1e-5; only a pair that is the sole bridge between two components
-matters.
+link is confirmed on the full sets.
+
+Rows of a band and the cut on the estimate follow from ``percent``: a pair at
+that similarity misses all bands, or has an estimate below the cut, each with a
+chance below ``MISS`` (binomial tail). At the pipeline's 0.80 that is 38 bands of
+5 rows, missed with 3e-07, and a cut of 0.656, missed with 1e-06; at 0.85
+32 bands of 6 rows (3e-07) and a cut of 0.719 (1e-06). More similar
+pairs miss less.
 
 Edge cases: a null or empty text, or one without words, has an empty set and is
 linked with nothing; fewer words than a shingle are one shingle; rows that
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +45,27 @@ from tallymart.llm.graph import components
 from tallymart.llm.storage import written
 from tallymart.llm.text import Texts, each_piece, mix, salted, shingle_hashes
 
-BANDS, ROWS = 32, 6
-SIZE = BANDS * ROWS
-LEAST = 0.74
+SIZE, ROWS = 192, 6
+MISS = 2e-6
 BLOCK = 256
 _NULL_ID = 1 << 62
 _FULL = ~np.uint64(0)
 
 
+def band_rows(percent: int) -> int:
+    """The most rows of a band, up to ``ROWS``, with which pairs at ``percent`` miss all bands with a chance below ``MISS``."""
+    share = percent / 100
+    return max((r for r in range(1, ROWS + 1) if (1 - share**r) ** (SIZE // r) < MISS), default=1)
+
+
+def least_share(percent: int) -> float:
+    """The largest share of equal coordinates that pairs at ``percent`` fall below with a chance below ``MISS``."""
+    share, below, equal = percent / 100, 0.0, 0
+    while equal < SIZE and (below := below + comb(SIZE, equal) * share**equal * (1 - share) ** (SIZE - equal)) < MISS:
+        equal += 1
+    return equal / SIZE
+
+
 def shingle_sets(texts: Texts, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of each text, text by text in order, and how many each has."""
     words, owner = texts.word_hashes(lower=True), texts.owner
@@ -152,10 +170,10 @@ def _exact_rows(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         )
 
 
-def _estimate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _estimate_rows(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, SIZE) for c in batch.columns[2:4])
-        near = pa.array((x == y).mean(axis=1) >= LEAST)
+        near = pa.array((x == y).mean(axis=1) >= least_share(percent))
         yield pa.RecordBatch.from_arrays([c.filter(near) for c in batch.columns[:2]], ["a", "b"])
 
 
@@ -180,7 +198,7 @@ def _open_links(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
             for _, _, node, label, sketch, elements in one:
                 own = np.frombuffer(elements, np.uint64)
                 near = (table == np.frombuffer(sketch, np.uint16)).mean(axis=1)
-                for i in np.argsort(-near, kind="stable")[: int((near >= LEAST).sum())].tolist():
+                for i in np.argsort(-near, kind="stable")[: int((near >= least_share(percent)).sum())].tolist():
                     if find(two[i][3]) != find(label) and _similar(own, sets[i], percent):
                         found.append((node, two[i][2]))
                         root[find(two[i][3])] = find(label)
@@ -206,7 +224,7 @@ def _linked(pairs: DataFrame, sketched: DataFrame, sets: DataFrame, percent: int
         two = of.select(F.col("node").alias("b"), F.col(name).alias("y"))
         return found.join(one, "a").join(two, "b").select("a", "b", "x", "y")
 
-    near = with_both(pairs, sketched, "sketch").mapInArrow(_estimate_rows, "a long, b long")
+    near = with_both(pairs, sketched, "sketch").mapInArrow(partial(_estimate_rows, percent), "a long, b long")
     return with_both(near, sets, "elements").mapInArrow(partial(_exact_rows, percent), "a long, b long")
 
 
@@ -227,8 +245,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         .groupBy("node")
         .agg(F.min("_id").alias("_id"), F.min_by("_tid", "_id").alias("_tid"), F.first("sketch").alias("sketch"))
     )
-    width = 2 * ROWS
-    bands = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * width + 1, width)) for k in range(BANDS)])
+    size = band_rows(percent)
+    width = 2 * size
+    bands = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * width + 1, width)) for k in range(SIZE // size)])
     placed = nodes.select("node", F.explode(bands).alias("bucket"))
     # Grouped by one value and joined by another, so that a large bucket is split.
     other = F.bitwise_not("bucket").alias("other")

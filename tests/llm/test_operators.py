@@ -328,3 +328,19 @@ def test_article_elements_that_are_teasers_do_not_hide_the_text():
     links = "<ul>" + "<li><a href='/'>Link</a></li>" * 9 + "</ul>"
     text = html_text.main_text(f"<body><main><h1>Title</h1><article><h2>Part</h2>{body}<p>So.</p>{links}</article></main>{teasers}</body>")
     assert text.startswith("Title\n\nPart\n\nParagraph 0") and text.endswith("So.") and "Link" not in text
+
+
+@pytest.mark.parametrize("percent", [70, 80, 85])
+def test_sketch_cuts_follow_the_similarity_asked_for(spark, percent):
+    rows, near = [], set()
+    for i in range(200):  # pairs of 100 common words and so many of their own that they reach percent just so
+        own = round(100 * (100 - percent) / percent / 2)
+        for j in (0, 1):
+            rows.append((2 * i + j, " ".join([f"c{i}_{k}" for k in range(100)] + [f"o{i}_{j}_{k}" for k in range(own)])))
+        if 100 * 100 >= percent * (100 + 2 * own):
+            near.add(2 * i)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 1, percent).collect()}
+    assert all(found[a + 1] == (a if a in near else a + 1) for a in range(0, 400, 2))
+    share, cut = percent / 100, minhash.least_share(percent)
+    assert share - cut > 4.5 * (share * (1 - share) / minhash.SIZE) ** 0.5
