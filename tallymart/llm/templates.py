@@ -1,19 +1,28 @@
-"""Removal of boilerplate lines with a log-template tree.
-
-A line goes down a tree of fixed depth: by its number of tokens, then by its
-leading tokens, where a token with a digit is a variable field. In the leaf it
-joins the template with the largest share of equal tokens, if that reaches
-``SIMILARITY``, and fields that differ become variable; else it founds a new
-one. A template with lines in ``MIN_DOCS`` documents recurs: all its lines are
-dropped but the earliest, so no text is lost to its own copies.
-
-Trees are built where the lines are, one for each batch, and only their
-templates are shuffled and merged by leaf, so a leaf that a third of all lines
-share costs a few rows per batch. Only lines of leaves that reach ``MIN_DOCS``
-documents take part.
-
-Edge cases: a null or empty text has no lines; lines with fewer tokens than
-``MIN_TOKENS`` are kept; a text without line breaks is one line; rows that repeat id and text count as different documents and get
+"""Removal of boilerplate lines: identical lines, and those of a log-template tree.
+
+A line whose words recur alike in ``MIN_COPIES`` documents is dropped but for its
+earliest place, however short it is.
+
+Longer lines also go down a tree of fixed depth: by their number of tokens, then
+by their leading tokens, where a token with a digit is a variable field. In the
+leaf a line joins the template with the largest share of equal ones among the
+fixed tokens after the leading ones, if that reaches ``SIMILARITY``, and fields
+that differ become variable; else it founds a new one. Both only where at least
+``MIN_FIXED`` tokens after the leading ones, and half of them, are fixed: other lines
+(short ones, rows of numbers) recur by equality alone. A template with lines in
+``MIN_DOCS`` documents recurs. Its lines, which have all of its fixed tokens, are
+counted again over all documents once the templates are final, and dropped but
+for the earliest, so no text is lost to its own copies.
+
+Trees are built where the lines are, one for each batch of sorted lines, and only
+their templates are shuffled and merged by leaf, so a leaf that a third of all
+lines share costs a few rows per batch. Only lines of leaves that reach
+``MIN_DOCS`` documents take part. How the documents fall into batches can decide
+which of two similar templates a line joins.
+
+Edge cases: a null or empty text has no lines; lines without a word are kept; a
+text without line breaks is one line, so of texts that are copies one keeps its
+lines; rows that repeat id and text count as different documents and get
 equal results; null ids come last; ties go to the template met first; an empty
 table gives an empty result. Only ``doc_id`` and ``text`` are read.
 """
@@ -30,27 +39,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.storage import written
-from tallymart.llm.text import Texts, each_piece, mix
+from tallymart.llm.text import Texts, each_piece, mix, range_hashes
 
 DEPTH = 3
-MIN_TOKENS = 4
-MIN_DOCS = 10
+MIN_FIXED = 2
+MIN_COPIES, MIN_DOCS = 2, 10
 SIMILARITY = 0.7
 #: Distinct lines of a batch after which its templates are sent on.
 BATCH_LINES = 50_000
 
 _DIGIT = (np.arange(256) >= 48) & (np.arange(256) <= 57)
-_PLACE = "first_id long, first_line long"
+
+
+def _least_fixed(size: int | np.ndarray) -> int | np.ndarray:
+    """How many tokens after the leading ones a template of ``size`` tokens keeps fixed."""
+    return np.maximum(MIN_FIXED, (size - DEPTH + 1) // 2)
 
 
 class Lines:
-    """The lines of some texts: owner, number, first and last token, leaf; tokens as hashes, 0 if variable."""
+    """The lines of some texts: owner, number, first token, size, hash of the words; the leaves of ``long`` ones; tokens as hashes, 0 if variable."""
 
     def __init__(self, texts: Texts) -> None:
         self.tokens = texts.word_hashes()
-        digits = np.zeros(len(texts.data) + 1, np.int64)
-        np.cumsum(_DIGIT[texts.data], out=digits[1:])
-        self.tokens[digits[texts.ends] > digits[texts.starts]] = 0
         breaks = np.flatnonzero(texts.data == 10) + 1
         starts = np.unique(np.concatenate([texts.offsets[:-1], breaks]))
         starts = starts[starts < len(texts.data)] if len(texts.data) else starts[:0]
@@ -59,7 +69,13 @@ class Lines:
         self.number = np.arange(len(starts)) - np.searchsorted(self.owner, self.owner)
         self.first = np.searchsorted(texts.starts, starts)
         self.size = np.searchsorted(texts.starts, ends) - self.first
-        self.long = np.flatnonzero(self.size >= MIN_TOKENS)
+        self.words = range_hashes(self.tokens, self.first, self.first + self.size).view(np.int64)
+        digits = np.zeros(len(texts.data) + 1, np.int64)
+        np.cumsum(_DIGIT[texts.data], out=digits[1:])
+        self.tokens[digits[texts.ends] > digits[texts.starts]] = 0
+        fixed = np.concatenate([[0], np.cumsum(self.tokens != 0)])
+        rest = np.minimum(self.first + DEPTH, self.first + self.size)
+        self.long = np.flatnonzero(fixed[self.first + self.size] - fixed[rest] >= _least_fixed(self.size))
         leaf = self.size[self.long].astype(np.uint64)
         for k in range(DEPTH):
             leaf = mix(leaf * np.uint64(31) + self.tokens[self.first[self.long] + k])
@@ -70,196 +86,243 @@ class Lines:
 
 
 class Leaf:
-    """The templates of one leaf, with their documents and earliest line."""
+    """The templates of one leaf, with at least so many documents as have their lines."""
 
     def __init__(self) -> None:
-        self.templates: list[np.ndarray] = []
+        self.table = np.zeros((0, 0), np.uint64)
         self.docs: list[int] = []
         self.seen: list[set[int] | None] = []
-        self.first: list[tuple[int, int]] = []
 
     def nearest(self, tokens: np.ndarray) -> int:
-        """The most similar template, or -1; a variable field of the template equals any token."""
-        best, found = 0.0, -1
-        for i, template in enumerate(self.templates):
-            share = float(((template == tokens) | (template == 0)).mean())
-            if share >= SIMILARITY and share > best:
-                best, found = share, i
-        return found
-
-    def add(self, tokens: np.ndarray, docs: int, first: tuple[int, int], owners: set[int] | None = None) -> None:
+        """The most similar template that keeps enough fixed tokens with this line, or -1."""
+        if not self.docs:
+            return -1
+        rest = self.table[: len(self.docs), DEPTH:]
+        equal = ((rest == tokens[DEPTH:]) & (rest != 0)).sum(axis=1)
+        share = np.where(equal >= _least_fixed(len(tokens)), equal / (rest != 0).sum(axis=1), 0.0)
+        best = int(share.argmax())
+        return best if share[best] >= SIMILARITY else -1
+
+    def add(self, tokens: np.ndarray, docs: int, owners: set[int] | None = None) -> None:
         i = self.nearest(tokens)
         if i < 0:
-            self.templates.append(tokens.copy())
+            n = len(self.docs)
+            if n == len(self.table):
+                grown = np.zeros((max(4, 2 * n), len(tokens)), np.uint64)
+                grown[:n] = self.table[:n] if n else 0
+                self.table = grown
+            self.table[n] = tokens
             self.docs.append(docs)
             self.seen.append(owners)
-            self.first.append(first)
             return
-        template = self.templates[i]
-        merged = np.where(template == tokens, template, 0)
-        if 2 * int((merged != 0).sum()) >= len(merged):  # a template keeps half its tokens fixed
-            self.templates[i] = merged
+        self.table[i] = np.where(self.table[i] == tokens, tokens, 0)
         if owners is None:
             self.docs[i] += docs
         else:
             self.seen[i] |= owners  # type: ignore[operator]
             self.docs[i] = len(self.seen[i])  # type: ignore[arg-type]
-        self.first[i] = min(self.first[i], first)
+
+
+def _batch_of(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
 def _template_batch(leaves: dict[int, Leaf], least: int) -> pa.RecordBatch:
     rows = [
-        (leaf, template.tobytes(), docs, *first)
-        for leaf, own in leaves.items()
-        for template, docs, first in zip(own.templates, own.docs, own.first, strict=True)
-        if docs >= least
+        (leaf, own.table[i].tobytes(), docs) for leaf, own in leaves.items() for i, docs in enumerate(own.docs) if docs >= least
     ]
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["leaf", "template", "docs", "first_id", "first_line"]
-    )
+    return _batch_of(rows, ["leaf", "template", "docs"], [pa.int64(), pa.binary(), pa.int64()])
 
 
-def _leaf_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every line with words: hash, leaf if any, place, and whether the first of its hash, and of its leaf, in the row."""
     for batch in batches:
-        ids = np.asarray(batch.column(0))
-        for at, _, texts in each_piece(batch.column(1)):
+        for at, _, texts in each_piece(batch.column(2)):
             lines = Lines(texts)
-            both = np.unique(np.stack([lines.owner[lines.long], lines.leaf]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(both[1]), pa.array(ids[both[0] + at])], ["leaf", "_id"])
+            worded = np.flatnonzero(lines.size)
+            leaf, has = np.zeros(len(lines.size), np.int64), np.zeros(len(lines.size), bool)
+            leaf[lines.long], has[lines.long] = lines.leaf, True
+            new = [np.zeros(len(lines.size), bool), np.zeros(len(lines.size), bool)]
+            for marks, values, own in zip(new, (lines.words, leaf), (worded, lines.long), strict=True):
+                order = own[np.lexsort((own, values[own], lines.owner[own]))]
+                marks[order] = np.append(
+                    True, (values[order][1:] != values[order][:-1]) | (lines.owner[order][1:] != lines.owner[order][:-1])
+                )[: len(order)]
+            rows = pa.array(lines.owner[worded] + at)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(rows), batch.column(1).take(rows), pa.array(lines.number[worded]),
+                    pa.array(lines.words[worded]), pa.array(leaf[worded], mask=~has[worded]), *(pa.array(x[worded]) for x in new),
+                ],
+                ["_id", "_tid", "number", "line", "leaf", "new", "new_leaf"],
+            )
 
 
 def _batch_templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Templates of the lines whose leaf is listed, one tree after another."""
-    leaves: dict[int, Leaf] = {}
-    distinct: dict[tuple[int, bytes], list] = {}
+    distinct: dict[tuple[int, bytes], set[int]] = {}
     row = 0
 
     def build() -> pa.RecordBatch:
-        for (leaf, line), (first, owners) in distinct.items():
-            leaves.setdefault(leaf, Leaf()).add(np.frombuffer(line, np.uint64), len(owners), first, owners)
+        leaves: dict[int, Leaf] = {}
+        for leaf, line in sorted(distinct):
+            owners = distinct[leaf, line]
+            leaves.setdefault(leaf, Leaf()).add(np.frombuffer(line, np.uint64), len(owners), owners)
         return _template_batch(leaves, 1)
 
     for batch in batches:
-        ids, listed = np.asarray(batch.column(0)), batch.column(2)
-        for at, _, texts in each_piece(batch.column(1)):
+        listed = batch.column(1)
+        for at, end, texts in each_piece(batch.column(0)):
             lines = Lines(texts)
-            wanted = [set(x.as_py()) for x in listed[at : at + len(texts.offsets) - 1]]
-            for j, i in enumerate(lines.long.tolist()):
-                owner, leaf = int(lines.owner[i]), int(lines.leaf[j])
-                if leaf not in wanted[owner]:
-                    continue
-                place = (int(ids[at + owner]), int(lines.number[i]))
-                known = distinct.setdefault((leaf, lines.line(i).tobytes()), [place, set()])
-                known[0] = min(known[0], place)
-                known[1].add(row + at + owner)
+            wanted = [set(x) for x in listed[at:end].to_pylist()]
+            for i, owner, leaf in zip(lines.long.tolist(), lines.owner[lines.long].tolist(), lines.leaf.tolist(), strict=True):
+                if leaf in wanted[owner]:
+                    distinct.setdefault((leaf, lines.line(i).tobytes()), set()).add(row + at + owner)
         row += batch.num_rows
         if len(distinct) > BATCH_LINES:
             yield build()
-            leaves, distinct = {}, {}
+            distinct = {}
     if distinct:
         yield build()
 
 
 def _merged_templates(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The recurring templates of whole leaves; rows come sorted by leaf."""
+    """The templates of whole leaves that may recur; rows come sorted by leaf."""
     leaves: dict[int, Leaf] = {}
     for batch in batches:
-        for leaf, template, docs, *first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for leaf, template, docs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if leaf not in leaves and len(leaves) > 1000:
                 yield _template_batch(leaves, least)
                 leaves = {}
-            leaves.setdefault(leaf, Leaf()).add(np.frombuffer(template, np.uint64), docs, (first[0], first[1]))
+            leaves.setdefault(leaf, Leaf()).add(np.frombuffer(template, np.uint64), docs)
     if leaves:
         yield _template_batch(leaves, least)
 
 
+def _template_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The places of lines that have all fixed tokens of a listed template, and whether the first of it in the row."""
+    for batch in batches:
+        made: list[tuple] = []
+        for at, end, texts in each_piece(batch.column(2)):
+            lines = Lines(texts)
+            ids, tids = batch.column(0)[at:end].to_pylist(), batch.column(1)[at:end].to_pylist()
+            trees: list[dict[int, list[tuple[int, np.ndarray]]]] = []
+            for found in batch.column(3)[at:end].to_pylist():
+                trees.append({})
+                for t in found:
+                    trees[-1].setdefault(t["leaf"], []).append((t["key"], np.frombuffer(t["template"], np.uint64)))
+            met: set[tuple[int, int]] = set()
+            for i, owner, leaf in zip(lines.long.tolist(), lines.owner[lines.long].tolist(), lines.leaf.tolist(), strict=True):
+                for key, template in trees[owner].get(leaf, ()):
+                    tokens = lines.line(i)
+                    if ((template == 0) | (template == tokens)).all():
+                        made.append((ids[owner], tids[owner], int(lines.number[i]), key, (owner, key) not in met))
+                        met.add((owner, key))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+        yield _batch_of(made, ["_id", "_tid", "number", "line", "new"], kinds)
+
+
+def _gone(found: list[dict] | None) -> set[int]:
+    """The lines to drop: not the earliest of any template they have or, without one, not the earliest of their words."""
+    kept: dict[tuple[int, bool], bool] = {}
+    for x in found or ():
+        place = (x["number"], x["templated"])
+        kept[place] = kept.get(place, False) or x["earliest"]
+    return {n for (n, templated), own in kept.items() if not own and (templated or (n, True) not in kept)}
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["n_lines", "n_dropped", "kept", "kept_sha256"]
     for batch in batches:
-        ids = np.asarray(batch.column(1))
         columns: list[list] = [[], [], [], []]
-        for at, end, texts in each_piece(batch.column(2)):
-            lines = Lines(texts)
-            found = batch.column(3)[at:end].to_pylist()
-            dropped: dict[int, set[int]] = {}
-            trees: dict[int, dict[int, Leaf]] = {}
-            for j, i in enumerate(lines.long.tolist()):
-                owner = int(lines.owner[i])
-                if not found[owner]:
-                    continue
-                if owner not in trees:
-                    trees[owner] = {}
-                    for t in found[owner]:
-                        own = trees[owner].setdefault(t["leaf"], Leaf())
-                        own.templates.append(np.frombuffer(t["template"], np.uint64))
-                        own.first.append((t["first_id"], t["first_line"]))
-                tree = trees[owner].get(int(lines.leaf[j]))
-                place = (int(ids[at + owner]), int(lines.number[i]))
-                if tree is not None and (k := tree.nearest(lines.line(i))) >= 0 and tree.first[k] != place:
-                    dropped.setdefault(owner, set()).add(place[1])
-            data = texts.data.tobytes()
-            for owner in range(end - at):
-                text = data[texts.offsets[owner] : texts.offsets[owner + 1]]
-                parts = text.split(b"\n") if text else []
-                gone = dropped.get(owner, ())
-                kept = b"\n".join(p for k, p in enumerate(parts) if k not in gone) if gone else text
-                values = (len(parts), len(gone), kept.decode(), hashlib.sha256(kept).hexdigest())
-                for column, value in zip(columns, values, strict=True):
-                    column.append(value)
+        for text, found in zip(batch.column(1), batch.column(2), strict=True):
+            data = text.as_py().encode()
+            parts = data.split(b"\n") if data else []
+            gone = _gone(found.as_py())
+            kept = b"\n".join(p for k, p in enumerate(parts) if k not in gone) if gone else data
+            for column, value in zip(columns, (len(parts), len(gone), kept.decode(), hashlib.sha256(kept).hexdigest()), strict=True):
+                column.append(value)
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
         made = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["carried", *names])
 
 
-def _with_templates(docs: DataFrame, min_docs: int, carried: Column) -> DataFrame:
-    """``carried``, ``_id`` and ``text`` of every row, and the recurring templates of its leaves."""
+def _recurring(places: DataFrame, least: int, templated: bool) -> DataFrame:
+    """The ``places`` whose line recurs, and whether they are its earliest."""
+    # Grouped by one value and joined by another, so that a frequent line is split.
+    other = F.bitwise_not("line").alias("other")
+    first = F.min(F.struct("_id", "_tid", "number")).alias("first")
+    lines = places.groupBy("line").agg(F.sum(F.col("new").cast("long")).alias("docs"), first).where(F.col("docs") >= least)
+    return (
+        places.select(other, "_id", "_tid", "number")
+        .join(lines.select(other, "first"), "other")
+        .select(
+            "_id", "_tid", "number", F.lit(templated).alias("templated"),
+            # Rows that repeat id and text share the place.
+            (F.struct("_id", "_tid", "number") == F.col("first")).alias("earliest"),
+        )
+    )
+
+
+def _cut_lines(docs: DataFrame, min_docs: int, min_copies: int, carried: Column) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     spread = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    texts = docs.select(carried.alias("carried"), F.coalesce(F.col("doc_id").cast("long"), spread).alias("_id"), text.alias("text"))
-    # Grouped by one value and joined by another, so that a frequent leaf is split.
+    texts = docs.select(
+        carried.alias("carried"), F.coalesce(F.col("doc_id").cast("long"), spread).alias("_id"),
+        F.xxhash64(text).alias("_tid"), text.alias("text"),
+    )
+    place = "_id long, _tid long, number long, line long"
+    rows = written(texts.select("_id", "_tid", "text").mapInArrow(_line_rows, f"{place}, leaf long, new boolean, new_leaf boolean"))
     other = F.bitwise_not("leaf").alias("other")
-    rows = written(texts.select("_id", "text").mapInArrow(_leaf_rows, "leaf long, _id long"))
-    frequent = rows.groupBy("leaf").count().where(F.col("count") >= min_docs)
-    listed = rows.select(other, "_id").join(frequent.select(other), "other").select(F.bitwise_not("other").alias("leaf"), "_id")
-    by_text = listed.groupBy("_id").agg(F.collect_list("leaf").alias("leaves"))
+    leaves = rows.where("new_leaf").select("leaf", "_id", "_tid")
+    frequent = leaves.groupBy("leaf").count().where(F.col("count") >= min_docs)
+    listed = leaves.select(other, "_id", "_tid").join(frequent.select(other), "other")
+    by_text = listed.groupBy("_id", "_tid").agg(F.collect_set(F.bitwise_not("other")).alias("leaves"))
     templates = written(
-        texts.join(by_text.hint("shuffle_hash"), "_id")
-        .select("_id", "text", "leaves", "carried")  # all columns, so that the texts' shuffle is used again
-        .mapInArrow(_batch_templates, f"leaf long, template binary, docs long, {_PLACE}")
+        texts.join(by_text.hint("shuffle_hash"), ["_id", "_tid"])
+        .select("text", "leaves")
+        .mapInArrow(_batch_templates, "leaf long, template binary, docs long")
         .repartition("leaf")
-        .sortWithinPartitions("leaf", F.desc("docs"), "template", "first_id", "first_line")
-        .mapInArrow(partial(_merged_templates, min_docs), f"leaf long, template binary, docs long, {_PLACE}")
+        .sortWithinPartitions("leaf", F.desc("docs"), "template")
+        .mapInArrow(partial(_merged_templates, min_docs), "leaf long, template binary, docs long")
+        .select("leaf", "template", F.xxhash64("leaf", "template").alias("key"))
     )
     found = (
-        rows.select(other, "_id")
-        .join(templates.select(other, "leaf", "template", "first_id", "first_line"), "other")
-        .groupBy("_id")
-        .agg(F.collect_set(F.struct("leaf", "template", "first_id", "first_line")).alias("found"))
+        leaves.select(other, "_id", "_tid")
+        .join(templates.select(other, "leaf", "template", "key"), "other")
+        .groupBy("_id", "_tid")
+        .agg(F.collect_set(F.struct("leaf", "template", "key")).alias("found"))
     )
-    return texts.join(found.hint("shuffle_hash"), "_id", "left").select("carried", "_id", "text", "found")
-
-
-def _cut_lines(docs: DataFrame, min_docs: int, carried: Column) -> DataFrame:
-    found = _with_templates(docs, min_docs, carried)
-    kind = found.schema["carried"].dataType.simpleString()
-    return found.mapInArrow(_cut, f"carried {kind}, n_lines long, n_dropped long, kept string, kept_sha256 string")
+    matched = written(
+        texts.join(found.hint("shuffle_hash"), ["_id", "_tid"])
+        .select("_id", "_tid", "text", "found")
+        .mapInArrow(_template_rows, f"{place}, new boolean")
+    )
+    gone = (
+        _recurring(matched, min_docs, True)
+        .union(_recurring(rows, min_copies, False))
+        .groupBy("_id", "_tid")
+        .agg(F.collect_set(F.struct("number", "templated", "earliest")).alias("found"))
+    )
+    cut = texts.join(gone.hint("shuffle_hash"), ["_id", "_tid"], "left").select("carried", "text", "found")
+    kind = cut.schema["carried"].dataType.simpleString()
+    return cut.mapInArrow(_cut, f"carried {kind}, n_lines long, n_dropped long, kept string, kept_sha256 string")
 
 
-def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_copies: int = MIN_COPIES) -> DataFrame:
     """Per row ``doc_id``, ``n_lines``, ``n_dropped``, ``kept`` (the other lines) and ``kept_sha256``."""
-    return _cut_lines(docs, min_docs, F.col("doc_id")).withColumnRenamed("carried", "doc_id")
+    return _cut_lines(docs, min_docs, min_copies, F.col("doc_id")).withColumnRenamed("carried", "doc_id")
 
 
-def cut_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def cut_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_copies: int = MIN_COPIES) -> DataFrame:
     """The rows of ``docs`` with the other lines as ``text`` and, where there, their code points as ``n_chars``.
 
     A row whose lines all recur stays, with an empty text; a null text stays null.
     """
     others = [c for c in docs.columns if c != "text"]
     carried = F.struct(*[F.col(f"`{c}`") for c in others], F.col("text").isNull().alias("_null"))
-    cut = _cut_lines(docs, min_docs, carried)
+    cut = _cut_lines(docs, min_docs, min_copies, carried)
     kept = F.when(~F.col("carried._null"), F.col("kept"))
     values = {c: F.col(f"carried.`{c}`") for c in others} | {"text": kept}
     if "n_chars" in values:

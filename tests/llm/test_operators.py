@@ -344,3 +344,17 @@ def test_sketch_cuts_follow_the_similarity_asked_for(spark, percent):
     assert all(found[a + 1] == (a if a in near else a + 1) for a in range(0, 400, 2))
     share, cut = percent / 100, minhash.least_share(percent)
     assert share - cut > 4.5 * (share * (1 - share) / minhash.SIZE) ** 0.5
+
+
+def kept_lines(spark, rows):
+    found = templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    return {r.doc_id: r.kept.split("\n") for r in found.collect()}
+
+
+def test_short_and_twice_met_lines_recur(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"only {i} x{i}\nRead more\nHome" + (f"\n{long}" if i in (3, 7) else "")) for i in range(12)]
+    kept = kept_lines(spark, rows)
+    assert kept[0] == ["only 0 x0", "Read more", "Home"]
+    assert kept[3] == ["only 3 x3", long]
+    assert all(kept[i] == [f"only {i} x{i}"] for i in range(1, 12) if i != 3)
