@@ -358,3 +358,14 @@ def test_short_and_twice_met_lines_recur(spark):
     assert kept[0] == ["only 0 x0", "Read more", "Home"]
     assert kept[3] == ["only 3 x3", long]
     assert all(kept[i] == [f"only {i} x{i}"] for i in range(1, 12) if i != 3)
+
+
+def test_lines_that_share_little_are_not_one_template(spark):
+    nouns = "ash oak elm fir yew box bay fig pea hop rye oat".split()
+    rows = [
+        (i, f"{i} {i * 3} {i * 5} {i * 7}\nThe river near {n}\nThe river near {n} bends {n}ly past {n}s and {n}er {i}\nPage {i} of the annual report is yours")
+        for i, n in enumerate(nouns)
+    ]
+    kept = kept_lines(spark, rows)
+    assert kept[0] == rows[0][1].split("\n")
+    assert all(kept[i] == text.split("\n")[:3] for i, text in rows[1:])
