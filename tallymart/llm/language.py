@@ -8,8 +8,11 @@ language, so code-switched text is labelled word by word. A text's language is
 the one with the highest mean probability over its words with letters.
 
 The model is fitted by gradient steps on the driver from a bounded sample: at
-most ``SAMPLE_ROWS`` rows of at most ``SAMPLE_CHARS`` characters, those with the
-least hashed id among rows with a language whose crc32(doc_id) modulo 4 is not 2.
+most ``SAMPLE_ROWS`` rows, those with the least hashed id among rows with a
+language whose crc32(doc_id) modulo 4 is not 2, and of a language with fewer than
+``LEAST_ROWS`` of them its ``LEAST_ROWS`` least; so every language with a row that is
+not held out is learned. Fitting reads the first ``SAMPLE_CHARS`` characters of a row
+(``LEAST_CHARS`` of an added one). Weights take memory in proportion to the languages.
 Chains switch between sampled texts, which is where transitions are learned.
 Texts are labelled in chains of ``CHAIN`` words, whole and in vectorised steps.
 
@@ -22,19 +25,21 @@ and, for fitting, ``lang`` are read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.text import LOWER, Texts, byte_values, each_piece, mix, range_hashes, split_words
 
 SAMPLE_ROWS, SAMPLE_CHARS = 2_000, 100_000
+LEAST_ROWS, LEAST_CHARS = 50, 10_000
 CHAIN = 64
-BUCKETS = 1 << 17
+BUCKETS = (1 << 17) - 8
 LEXICON = 400
 EPOCHS, BATCH, RATE, DECAY = 3, 256, 0.2, 1e-6
 UNKNOWN = "und"
@@ -46,7 +51,7 @@ _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 @dataclass
 class Model:
     languages: list[str]
-    weights: np.ndarray  # buckets x languages
+    weights: np.ndarray  # (buckets, then one row for each lexicon) x languages
     transitions: np.ndarray  # from x to
     lexicons: list[np.ndarray]  # sorted word hashes
 
@@ -69,7 +74,7 @@ def _features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
         hashes.append(mix(range_hashes(values, at, at + n) + np.uint64(n + 8)))
     owner, hashed = np.concatenate(owners), np.concatenate(hashes)
     order = np.argsort(owner, kind="stable")
-    buckets = (hashed[order] % np.uint64(BUCKETS - 8)).astype(np.int64)
+    buckets = (hashed[order] % np.uint64(BUCKETS)).astype(np.int64)
     return buckets, np.searchsorted(owner[order], np.arange(len(starts) + 1))
 
 
@@ -137,9 +142,8 @@ def fit(texts: list[str], languages: list[str], seed: int = 7) -> Model | None:
     order = np.concatenate([runs[i] for i in random.permutation(len(runs))])
     order = order[: len(order) // CHAIN * CHAIN].reshape(-1, CHAIN) if len(order) >= CHAIN else order.reshape(1, -1)
 
-    weights, moves = np.zeros((BUCKETS, k)), np.zeros((k, k))
-    squares, move_squares = np.full((BUCKETS, k), 1e-6), np.full((k, k), 1e-6)
-    base = BUCKETS - 8
+    weights, moves = np.zeros((BUCKETS + k, k)), np.zeros((k, k))
+    squares, move_squares = np.full((BUCKETS + k, k), 1e-6), np.full((k, k), 1e-6)
     for _ in range(EPOCHS):
         for start in range(0, len(order), BATCH):
             chosen = order[random.integers(0, len(order), min(BATCH, len(order)))]
@@ -148,7 +152,7 @@ def fit(texts: list[str], languages: list[str], seed: int = 7) -> Model | None:
             inner = np.repeat(at[own] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
             used = buckets[inner]
             emits = np.add.reduceat(weights[used], np.cumsum(sizes) - sizes, axis=0)
-            emits += lexical[own] @ weights[base : base + min(8, k)][: lexical.shape[1]] if k <= 8 else 0
+            emits += lexical[own] @ weights[BUCKETS:]
             scores = emits[place].reshape(*chosen.shape, k)
             truth = labels[chosen]
             probable, pairs = _posteriors(scores, np.ones(chosen.shape, bool), moves)
@@ -156,10 +160,9 @@ def fit(texts: list[str], languages: list[str], seed: int = 7) -> Model | None:
             gradient[np.arange(len(gradient)), truth.ravel()] -= 1
             per_word = np.zeros((len(own), k))
             np.add.at(per_word, place, gradient)
-            flat = np.zeros((BUCKETS, k))
+            flat = np.zeros((BUCKETS + k, k))
             np.add.at(flat, used, np.repeat(per_word, sizes, axis=0))
-            if k <= 8:
-                flat[base : base + k] += lexical[own].T @ per_word
+            flat[BUCKETS:] += lexical[own].T @ per_word
             flat /= len(gradient)
             touched = np.flatnonzero(flat.any(axis=1))
             squares[touched] += flat[touched] ** 2
@@ -181,8 +184,7 @@ def word_probabilities(model: Model, texts: Texts) -> np.ndarray:
     unique, first, number = np.unique(hashes, return_index=True, return_inverse=True)
     buckets, at = _features(texts.data, texts.starts[first], texts.ends[first])
     emits = np.add.reduceat(model.weights[buckets], at[:-1], axis=0).astype(np.float64)
-    if k <= 8:
-        emits += _lexicon_columns(unique, model.lexicons) @ model.weights[BUCKETS - 8 : BUCKETS - 8 + k]
+    emits += _lexicon_columns(unique, model.lexicons) @ model.weights[BUCKETS:]
     chains = -(-texts.counts // CHAIN)
     owner = texts.owner
     within = np.arange(len(owner)) - texts.first[owner]
@@ -202,15 +204,24 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(docs: DataFrame) -> Model | None:
     """The model of the bounded sample of rows that may be learned from."""
-    rows = (
+    able = (
         docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
         .where("lang is not null and lang != '' and text is not null")
-        .where(F.length("text") <= SAMPLE_CHARS)
-        .select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text", "lang")
-        .limit(SAMPLE_ROWS)
-        .collect()
+        .select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     )
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("text"), F.col("lang")]
+
+    def excerpt(rows: DataFrame, chars: int) -> DataFrame:
+        return rows.withColumn("text", F.substring("text", 1, chars))
+
+    rows = excerpt(able, SAMPLE_CHARS).orderBy(*order).limit(SAMPLE_ROWS).collect()
+    sampled = Counter(r.lang for r in rows)
+    counts = able.groupBy("lang").count().collect()
+    rare = [r.lang for r in counts if sampled[r.lang] < min(LEAST_ROWS, r["count"])]
+    if rare:
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+        own = excerpt(able.where(F.col("lang").isin(rare)), LEAST_CHARS).withColumn("rank", rank)
+        rows = [r for r in rows if r.lang not in rare] + own.where(F.col("rank") <= LEAST_ROWS).orderBy("lang", "rank").collect()
     return fit([r.text for r in rows], [r.lang for r in rows])
 
 

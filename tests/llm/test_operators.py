@@ -369,3 +369,22 @@ def test_lines_that_share_little_are_not_one_template(spark):
     kept = kept_lines(spark, rows)
     assert kept[0] == rows[0][1].split("\n")
     assert all(kept[i] == text.split("\n")[:3] for i, text in rows[1:])
+
+
+def test_lexicons_of_many_languages_are_learned():
+    rng = np.random.default_rng(6)
+    names = [f"l{i}" for i in range(10)]
+    texts = [" ".join(f"{n}w{j}" for j in rng.integers(0, 20, 40)) for n in names for _ in range(4)]
+    model = language.fit(texts, [n for n in names for _ in range(4)])
+    assert len(model.weights) == language.BUCKETS + 10 and model.weights[language.BUCKETS :].any(axis=1).all()
+    labels = language.word_probabilities(model, language.split_words(*language_bytes(" ".join(texts[::4])))).argmax(axis=1)
+    assert (labels == np.repeat(np.arange(10), 40)).mean() > 0.95
+
+
+def test_rare_and_long_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 20)
+    monkeypatch.setattr(language, "SAMPLE_CHARS", 400)
+    rows = [(i, "the and with from that this have been " * 3, "bb") for i in range(300)]
+    rows += [(1000 + i, "tak nie jest sie dla przez oraz kiedy " * 20, "aa") for i in range(4)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["aa", "bb"]
