@@ -4,26 +4,25 @@ A line whose words recur alike in ``MIN_COPIES`` documents is dropped but for it
 earliest place, however short it is.
 
 Longer lines also go down a tree of fixed depth: by their number of tokens, then
-by their leading tokens, where a token with a digit is a variable field. In the
-leaf a line joins the template with the largest share of equal ones among the
-fixed tokens after the leading ones, if that reaches ``SIMILARITY``, and fields
-that differ become variable; else it founds a new one. Both only where at least
-``MIN_FIXED`` tokens after the leading ones, and half of them, are fixed: other lines
-(short ones, rows of numbers) recur by equality alone. A template with lines in
-``MIN_DOCS`` documents recurs. Its lines, which have all of its fixed tokens, are
-counted again over all documents once the templates are final, and dropped but
-for the earliest, so no text is lost to its own copies.
-
-Trees are built where the lines are, one for each batch of sorted lines, and only
-their templates are shuffled and merged by leaf, so a leaf that a third of all
-lines share costs a few rows per batch. Only lines of leaves that reach
-``MIN_DOCS`` documents take part. How the documents fall into batches can decide
-which of two similar templates a line joins.
+by their leading tokens, where a token with a digit is a variable field. In a leaf
+that reaches ``MIN_DOCS`` documents, the other tokens of a line are put in order by how
+many lines (the distinct ones of each document) have them at that place. The first of them, for
+each number of them, are fixed tokens of a template and the rest its variable
+fields, so tokens that all lines share stay longest. A template keeps at least ``MIN_FIXED``
+tokens, and half, fixed after the leading ones: other lines (short ones, rows of
+numbers) recur by equality alone. A line goes with the template of most fixed tokens among its own
+that ``MIN_DOCS`` documents have. It is dropped unless it is the earliest with that
+template, so no text is lost to its own copies.
+
+Each step is a count or a join by one hash, of a leaf, of a token at its place, or of a
+template, so no leaf is gathered anywhere, rows grow as the lines do, and the result does not depend on
+how the documents are dealt. A frequent line, token or template is counted by parts before it is
+shuffled, and the joins are fed by shuffles of their own, which adaptive execution splits.
 
 Edge cases: a null or empty text has no lines; lines without a word are kept; a
 text without line breaks is one line, so of texts that are copies one keeps its
 lines; rows that repeat id and text count as different documents and get
-equal results; null ids come last; ties go to the template met first; an empty
+equal results; null ids come last; an empty
 table gives an empty result. Only ``doc_id`` and ``text`` are read.
 """
 
@@ -39,15 +38,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.storage import written
-from tallymart.llm.text import Texts, each_piece, mix, range_hashes
+from tallymart.llm.text import Texts, each_piece, mix, range_hashes, salted
 
 DEPTH = 3
 MIN_FIXED = 2
 MIN_COPIES, MIN_DOCS = 2, 10
-SIMILARITY = 0.7
-#: Distinct lines of a batch after which its templates are sent on.
-BATCH_LINES = 50_000
 
+_MASK = (1 << 64) - 1
 _DIGIT = (np.arange(256) >= 48) & (np.arange(256) <= 57)
 
 
@@ -81,59 +78,6 @@ class Lines:
             leaf = mix(leaf * np.uint64(31) + self.tokens[self.first[self.long] + k])
         self.leaf = leaf.view(np.int64)
 
-    def line(self, i: int) -> np.ndarray:
-        return self.tokens[self.first[i] : self.first[i] + self.size[i]]
-
-
-class Leaf:
-    """The templates of one leaf, with at least so many documents as have their lines."""
-
-    def __init__(self) -> None:
-        self.table = np.zeros((0, 0), np.uint64)
-        self.docs: list[int] = []
-        self.seen: list[set[int] | None] = []
-
-    def nearest(self, tokens: np.ndarray) -> int:
-        """The most similar template that keeps enough fixed tokens with this line, or -1."""
-        if not self.docs:
-            return -1
-        rest = self.table[: len(self.docs), DEPTH:]
-        equal = ((rest == tokens[DEPTH:]) & (rest != 0)).sum(axis=1)
-        share = np.where(equal >= _least_fixed(len(tokens)), equal / (rest != 0).sum(axis=1), 0.0)
-        best = int(share.argmax())
-        return best if share[best] >= SIMILARITY else -1
-
-    def add(self, tokens: np.ndarray, docs: int, owners: set[int] | None = None) -> None:
-        i = self.nearest(tokens)
-        if i < 0:
-            n = len(self.docs)
-            if n == len(self.table):
-                grown = np.zeros((max(4, 2 * n), len(tokens)), np.uint64)
-                grown[:n] = self.table[:n] if n else 0
-                self.table = grown
-            self.table[n] = tokens
-            self.docs.append(docs)
-            self.seen.append(owners)
-            return
-        self.table[i] = np.where(self.table[i] == tokens, tokens, 0)
-        if owners is None:
-            self.docs[i] += docs
-        else:
-            self.seen[i] |= owners  # type: ignore[operator]
-            self.docs[i] = len(self.seen[i])  # type: ignore[arg-type]
-
-
-def _batch_of(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
-
-
-def _template_batch(leaves: dict[int, Leaf], least: int) -> pa.RecordBatch:
-    rows = [
-        (leaf, own.table[i].tobytes(), docs) for leaf, own in leaves.items() for i, docs in enumerate(own.docs) if docs >= least
-    ]
-    return _batch_of(rows, ["leaf", "template", "docs"], [pa.int64(), pa.binary(), pa.int64()])
-
 
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every line with words: hash, leaf if any, place, and whether the first of its hash, and of its leaf, in the row."""
@@ -159,68 +103,30 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _batch_templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Templates of the lines whose leaf is listed, one tree after another."""
-    distinct: dict[tuple[int, bytes], set[int]] = {}
-    row = 0
-
-    def build() -> pa.RecordBatch:
-        leaves: dict[int, Leaf] = {}
-        for leaf, line in sorted(distinct):
-            owners = distinct[leaf, line]
-            leaves.setdefault(leaf, Leaf()).add(np.frombuffer(line, np.uint64), len(owners), owners)
-        return _template_batch(leaves, 1)
-
-    for batch in batches:
-        listed = batch.column(1)
-        for at, end, texts in each_piece(batch.column(0)):
-            lines = Lines(texts)
-            wanted = [set(x) for x in listed[at:end].to_pylist()]
-            for i, owner, leaf in zip(lines.long.tolist(), lines.owner[lines.long].tolist(), lines.leaf.tolist(), strict=True):
-                if leaf in wanted[owner]:
-                    distinct.setdefault((leaf, lines.line(i).tobytes()), set()).add(row + at + owner)
-        row += batch.num_rows
-        if len(distinct) > BATCH_LINES:
-            yield build()
-            distinct = {}
-    if distinct:
-        yield build()
-
-
-def _merged_templates(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The templates of whole leaves that may recur; rows come sorted by leaf."""
-    leaves: dict[int, Leaf] = {}
-    for batch in batches:
-        for leaf, template, docs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if leaf not in leaves and len(leaves) > 1000:
-                yield _template_batch(leaves, least)
-                leaves = {}
-            leaves.setdefault(leaf, Leaf()).add(np.frombuffer(template, np.uint64), docs)
-    if leaves:
-        yield _template_batch(leaves, least)
-
-
-def _template_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The places of lines that have all fixed tokens of a listed template, and whether the first of it in the row."""
+def _leaf_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines whose leaf is listed for their row, with their tokens, and whether the first of its words in the row."""
     for batch in batches:
-        made: list[tuple] = []
         for at, end, texts in each_piece(batch.column(2)):
-            lines = Lines(texts)
-            ids, tids = batch.column(0)[at:end].to_pylist(), batch.column(1)[at:end].to_pylist()
-            trees: list[dict[int, list[tuple[int, np.ndarray]]]] = []
-            for found in batch.column(3)[at:end].to_pylist():
-                trees.append({})
-                for t in found:
-                    trees[-1].setdefault(t["leaf"], []).append((t["key"], np.frombuffer(t["template"], np.uint64)))
-            met: set[tuple[int, int]] = set()
-            for i, owner, leaf in zip(lines.long.tolist(), lines.owner[lines.long].tolist(), lines.leaf.tolist(), strict=True):
-                for key, template in trees[owner].get(leaf, ()):
-                    tokens = lines.line(i)
-                    if ((template == 0) | (template == tokens)).all():
-                        made.append((ids[owner], tids[owner], int(lines.number[i]), key, (owner, key) not in met))
-                        met.add((owner, key))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-        yield _batch_of(made, ["_id", "_tid", "number", "line", "new"], kinds)
+            lines, listed = Lines(texts), batch.column(3)[at:end]
+            row = np.repeat(np.arange(end - at), listed.value_lengths().to_numpy(zero_copy_only=False))
+            leaves = salted(listed.flatten().to_numpy(zero_copy_only=False).view(np.uint64), row)
+            wanted = np.isin(salted(lines.leaf.view(np.uint64), lines.owner[lines.long]), leaves)
+            own, leaf = lines.long[wanted], lines.leaf[wanted]
+            new = np.zeros(len(own), bool)
+            new[np.unique(salted(lines.words[own].view(np.uint64), lines.owner[own]), return_index=True)[1]] = True
+            ends = np.cumsum(lines.size[own])
+            starts = ends - lines.size[own]
+            taken = np.repeat(lines.first[own] - starts, lines.size[own]) + np.arange(ends[-1] if len(ends) else 0)
+            tokens = pa.array(lines.tokens[taken].view(np.int64))
+            rows = pa.array(lines.owner[own] + at)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(rows), batch.column(1).take(rows), pa.array(lines.number[own]),
+                    pa.array(lines.words[own]), pa.array(new), pa.array(leaf),
+                    pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), tokens),
+                ],
+                ["_id", "_tid", "number", "line", "new", "leaf", "tokens"],
+            )
 
 
 def _gone(found: list[dict] | None) -> set[int]:
@@ -232,7 +138,11 @@ def _gone(found: list[dict] | None) -> set[int]:
     return {n for (n, templated), own in kept.items() if not own and (templated or (n, True) not in kept)}
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _words(parts: list[bytes]) -> int:
+    return sum(len(p.split()) for p in parts)
+
+
+def _cut(whole_from: float | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["n_lines", "n_dropped", "kept", "kept_sha256"]
     for batch in batches:
         columns: list[list] = [[], [], [], []]
@@ -240,6 +150,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = text.as_py().encode()
             parts = data.split(b"\n") if data else []
             gone = _gone(found.as_py())
+            if gone and whole_from is not None and _words([parts[k] for k in gone]) >= whole_from * _words(parts):
+                gone = set()
             kept = b"\n".join(p for k, p in enumerate(parts) if k not in gone) if gone else data
             for column, value in zip(columns, (len(parts), len(gone), kept.decode(), hashlib.sha256(kept).hexdigest()), strict=True):
                 column.append(value)
@@ -248,24 +160,72 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["carried", *names])
 
 
-def _recurring(places: DataFrame, least: int, templated: bool) -> DataFrame:
-    """The ``places`` whose line recurs, and whether they are its earliest."""
-    # Grouped by one value and joined by another, so that a frequent line is split.
-    other = F.bitwise_not("line").alias("other")
-    first = F.min(F.struct("_id", "_tid", "number")).alias("first")
-    lines = places.groupBy("line").agg(F.sum(F.col("new").cast("long")).alias("docs"), first).where(F.col("docs") >= least)
-    return (
-        places.select(other, "_id", "_tid", "number")
-        .join(lines.select(other, "first"), "other")
-        .select(
-            "_id", "_tid", "number", F.lit(templated).alias("templated"),
-            # Rows that repeat id and text share the place.
-            (F.struct("_id", "_tid", "number") == F.col("first")).alias("earliest"),
-        )
+def _met(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Inner join of ``rows`` with ``keys`` unique by ``on``.
+
+    ``keys`` come from counts grouped by ``on``; the join goes by another value, so
+    that both sides are shuffled for it and a frequent key is split.
+    """
+    other = F.bitwise_not(on).alias("other")
+    return rows.select("*", other).drop(on).join(keys.select(other, *[c for c in keys.columns if c != on]), "other")
+
+
+def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The templates of each line: one for each number of its tokens, in their order, that may stay fixed."""
+    for batch in batches:
+        for at, line in enumerate(batch.column(0).to_pylist()):
+            size, leaf = batch.column(1)[at].as_py(), batch.column(2)[at].as_py()
+            hashes = batch.column(3)[at].values.field("hash").to_numpy().view(np.uint64)
+            # the places of a line are distinct, so the exclusive or of their hashes stands for the set
+            keys = np.bitwise_xor.accumulate(hashes)
+            fixed = np.arange(1, len(keys) + 1)
+            keys = mix(keys ^ mix(np.uint64(leaf & _MASK) + fixed.astype(np.uint64)))[fixed >= _least_fixed(size)]
+            fixed = fixed[fixed >= _least_fixed(size)]
+            if len(keys):
+                columns = [pa.array(np.full(len(keys), line)), pa.array(fixed), pa.array(keys.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["line", "fixed", "template"])
+
+
+def _templates(wanted: DataFrame, min_docs: int) -> DataFrame:
+    """``line``, ``fixed``, ``template``: the templates that each distinct line may go with."""
+    lines = written(wanted.groupBy("line").agg(
+        F.first("leaf").alias("leaf"), F.first("tokens").alias("tokens"), F.sum(F.col("new").cast("long")).alias("docs")
+    ))
+    places = lines.select("line", "leaf", "docs", F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "token"))
+    places = places.where((F.col("at") >= DEPTH) & (F.col("token") != 0))
+    places = places.withColumn("place", F.xxhash64("leaf", "at", "token"))
+    counted = places.groupBy("place").agg(F.sum("docs").alias("n")).where(F.col("n") >= min_docs)
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "at", "hash")))
+    own = _met(places.select("line", "leaf", "size", "at", "place", F.col("place").alias("hash")), counted, "place")
+    own = own.groupBy("line").agg(F.first("size").alias("size"), F.first("leaf").alias("leaf"), ordered.alias("own"))
+    return own.mapInArrow(_chains, "line long, fixed long, template long")
+
+
+def _recurring(places: DataFrame, lines: DataFrame, templated: bool) -> DataFrame:
+    """The ``places`` of the recurring ``lines``, and whether they are the earliest."""
+    met = _met(places.select("line", "_id", "_tid", "number"), lines.select("line", "first"), "line")
+    return met.select(
+        "_id", "_tid", "number", F.lit(templated).alias("templated"),
+        # Rows that repeat id and text share the place.
+        (F.struct("_id", "_tid", "number") == F.col("first")).alias("earliest"),
     )
 
 
-def _cut_lines(docs: DataFrame, min_docs: int, min_copies: int, carried: Column) -> DataFrame:
+def _longest(wanted: DataFrame, min_docs: int) -> DataFrame:
+    """Of each line with a recurring template, the place where the longest of them comes first."""
+    first = F.min(F.struct("_id", "_tid", "number")).alias("first")
+    chains = written(_templates(wanted, min_docs))
+    places = _met(chains, wanted.groupBy("line", "_id", "_tid", "number").agg(F.count(F.lit(1)).alias("rows")), "line")
+    # rows that repeat id and text repeat their places, and are documents of their own
+    docs = places.groupBy("template", "_id", "_tid").agg(F.max("rows").alias("rows"), F.min("number").alias("number"))
+    recurring = docs.groupBy("template").agg(F.sum("rows").alias("docs"), first).where(F.col("docs") >= min_docs)
+    own = _met(chains.select("line", "fixed", "template"), recurring.select("template", "first"), "template")
+    return own.groupBy("line").agg(F.max_by("first", "fixed").alias("first"))
+
+
+def _cut_lines(
+    docs: DataFrame, min_docs: int, min_copies: int, carried: Column, whole_from: float | None = None
+) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     spread = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
     texts = docs.select(
@@ -274,40 +234,28 @@ def _cut_lines(docs: DataFrame, min_docs: int, min_copies: int, carried: Column)
     )
     place = "_id long, _tid long, number long, line long"
     rows = written(texts.select("_id", "_tid", "text").mapInArrow(_line_rows, f"{place}, leaf long, new boolean, new_leaf boolean"))
-    other = F.bitwise_not("leaf").alias("other")
+    first = F.min(F.struct("_id", "_tid", "number")).alias("first")
+    copied = rows.groupBy("line").agg(F.sum(F.col("new").cast("long")).alias("docs"), first).where(F.col("docs") >= min_copies)
+
     leaves = rows.where("new_leaf").select("leaf", "_id", "_tid")
-    frequent = leaves.groupBy("leaf").count().where(F.col("count") >= min_docs)
-    listed = leaves.select(other, "_id", "_tid").join(frequent.select(other), "other")
-    by_text = listed.groupBy("_id", "_tid").agg(F.collect_set(F.bitwise_not("other")).alias("leaves"))
-    templates = written(
+    frequent = leaves.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")
+    listed = _met(leaves.withColumn("listed", F.col("leaf")), frequent, "leaf")
+    by_text = listed.groupBy("_id", "_tid").agg(F.collect_set("listed").alias("leaves"))
+    wanted = written(
         texts.join(by_text.hint("shuffle_hash"), ["_id", "_tid"])
-        .select("text", "leaves")
-        .mapInArrow(_batch_templates, "leaf long, template binary, docs long")
-        .repartition("leaf")
-        .sortWithinPartitions("leaf", F.desc("docs"), "template")
-        .mapInArrow(partial(_merged_templates, min_docs), "leaf long, template binary, docs long")
-        .select("leaf", "template", F.xxhash64("leaf", "template").alias("key"))
-    )
-    found = (
-        leaves.select(other, "_id", "_tid")
-        .join(templates.select(other, "leaf", "template", "key"), "other")
-        .groupBy("_id", "_tid")
-        .agg(F.collect_set(F.struct("leaf", "template", "key")).alias("found"))
-    )
-    matched = written(
-        texts.join(found.hint("shuffle_hash"), ["_id", "_tid"])
-        .select("_id", "_tid", "text", "found")
-        .mapInArrow(_template_rows, f"{place}, new boolean")
+        .select("_id", "_tid", "text", "leaves")
+        .mapInArrow(_leaf_lines, f"{place}, new boolean, leaf long, tokens array<long>")
     )
     gone = (
-        _recurring(matched, min_docs, True)
-        .union(_recurring(rows, min_copies, False))
+        _recurring(wanted, _longest(wanted, min_docs), True)
+        .union(_recurring(rows, copied, False))
         .groupBy("_id", "_tid")
         .agg(F.collect_set(F.struct("number", "templated", "earliest")).alias("found"))
     )
     cut = texts.join(gone.hint("shuffle_hash"), ["_id", "_tid"], "left").select("carried", "text", "found")
     kind = cut.schema["carried"].dataType.simpleString()
-    return cut.mapInArrow(_cut, f"carried {kind}, n_lines long, n_dropped long, kept string, kept_sha256 string")
+    schema = f"carried {kind}, n_lines long, n_dropped long, kept string, kept_sha256 string"
+    return cut.mapInArrow(partial(_cut, whole_from), schema)
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_copies: int = MIN_COPIES) -> DataFrame:
@@ -315,14 +263,18 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_copies:
     return _cut_lines(docs, min_docs, min_copies, F.col("doc_id")).withColumnRenamed("carried", "doc_id")
 
 
-def cut_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_copies: int = MIN_COPIES) -> DataFrame:
+def cut_recurring_lines(
+    docs: DataFrame, min_docs: int = MIN_DOCS, min_copies: int = MIN_COPIES, whole_from: float | None = None
+) -> DataFrame:
     """The rows of ``docs`` with the other lines as ``text`` and, where there, their code points as ``n_chars``.
 
-    A row whose lines all recur stays, with an empty text; a null text stays null.
+    A row whose lines all recur stays, with an empty text; a null text stays null. With ``whole_from`` a
+    row stays whole if at least that share of its words is in lines that would go: it is
+    a copy as a document, and no document with boilerplate.
     """
     others = [c for c in docs.columns if c != "text"]
     carried = F.struct(*[F.col(f"`{c}`") for c in others], F.col("text").isNull().alias("_null"))
-    cut = _cut_lines(docs, min_docs, min_copies, carried)
+    cut = _cut_lines(docs, min_docs, min_copies, carried, whole_from)
     kept = F.when(~F.col("carried._null"), F.col("kept"))
     values = {c: F.col(f"carried.`{c}`") for c in others} | {"text": kept}
     if "n_chars" in values:
