@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each as Parquet to the shared folder and gives what it reads back to the next.
 All stages but the last return the columns of ``documents``.
+
+Edge cases: a null, empty or very short text fails the quality rules; rows that repeat id and text
+pass or fail together, and of them one stays after ``near_duplicates``; null ids come last
+among copies; ties go as each operator's docstring says; very long texts go whole
+through every stage; extra columns, whatever their names, travel along up to the last stage;
+empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -14,6 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tallymart.llm import decontaminate, minhash, mixing, quality, templates
 from tallymart.session import fresh_path
 
+#: Share of words in recurring lines from which a document is taken for a copy.
+COPY_SHARE = 0.2
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -23,8 +32,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their recurring lines; a document that has only such lines stays with an empty text."""
-    return templates.cut_recurring_lines(docs)
+    """Documents without their recurring lines. A document with a fifth of its words in such lines counts as a copy, exact or
+    near, and stays whole: the next stage drops it as a document, and no text is emptied."""
+    return templates.cut_recurring_lines(docs, whole_from=COPY_SHARE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
