@@ -100,6 +100,19 @@ FROM {region}
 BATCH_SPLIT = "TIMESTAMP '1998-01-01'"
 
 
+# Doubles with digits and exponents of all kinds.
+DOUBLES_SQL = {
+    "third": "sales / 3",
+    "large": "sales * 1e13 / 7",
+    "small": "profit / 7e9",
+    "huge": "sales * sales * 1e200",
+    "plain": "sales",
+}
+
+# Lines whose customer is a padded null text, which is a missing merge key once cleaned.
+GAPS_SQL = "CASE WHEN quantity % 10 = 0 THEN ' null ' ELSE customer_id END"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -133,6 +146,10 @@ def second_batch(orders: DataFrame) -> DataFrame:
     return orders.where(f"order_date >= {BATCH_SPLIT}")
 
 
+def with_gaps(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("customer_id", F.expr(GAPS_SQL))
+
+
 def _with_headers(df: DataFrame, sheet: dict[str, str], renames: dict[str, str]) -> DataFrame:
     """The derived table under the raw headers of its sheet."""
     names = {header: renames.get(header, snake_case(header)) for header in sheet}

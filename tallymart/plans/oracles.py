@@ -17,13 +17,18 @@ from tallymart.schemas import (
     CUSTOMERS_COLUMNS,
     DUPLICATE_KEYS,
     LINE_KEYS,
+    NA_TOKENS,
     ORDERS_COLUMNS,
     ORDERS_RENAMES,
     ORDERS_SHEET,
+    PEOPLE_RENAMES,
+    PEOPLE_SHEET,
     PRODUCT_ID,
     PRODUCTS_COLUMNS,
+    RETURNS_SHEET,
     SUMMED,
 )
+from tallymart.sources.inference import ISO_TIMESTAMP, NUMBER, WHOLE_NUMBER
 
 # Name -> declared type of the order lines, in sheet order.
 LINES = {ORDERS_RENAMES.get(h, snake_case(h)): t for h, t in ORDERS_SHEET.items()}
@@ -101,6 +106,9 @@ PEOPLE = {
 BATCHES = {
     "batch_1": f"SELECT * FROM fx_orders WHERE order_date < {derived.BATCH_SPLIT}",
     "batch_2": f"SELECT * FROM fx_orders WHERE order_date >= {derived.BATCH_SPLIT}",
+    "gap_orders": f"SELECT * REPLACE ({derived.GAPS_SQL} AS customer_id) FROM fx_orders",
+    "gap_1": f"SELECT * FROM gap_orders WHERE order_date < {derived.BATCH_SPLIT}",
+    "gap_2": f"SELECT * FROM gap_orders WHERE order_date >= {derived.BATCH_SPLIT}",
 }
 
 ALL = (
@@ -113,6 +121,10 @@ ALL = (
     | _chain("batch_2", "b2_")
     | _star("b1_")
     | _star("b2_")
+    | _chain("gap_1", "g1_")
+    | _chain("gap_2", "g2_")
+    | _star("g1_")
+    | _star("g2_")
 )
 
 
@@ -136,11 +148,11 @@ def _table(name: str) -> str:
     return _query(f"SELECT * FROM {name}")
 
 
-def _merged(name: str, keys) -> str:
+def _merged(name: str, keys, first: str = "b1_", second: str = "b2_") -> str:
     match = " AND ".join(f"t.{k} = s.{k}" for k in keys)
     return _query(
-        f"SELECT * FROM b1_{name} UNION ALL SELECT * FROM b2_{name} AS s "
-        f"WHERE NOT EXISTS (SELECT 1 FROM b1_{name} AS t WHERE {match})"
+        f"SELECT * FROM {first}{name} UNION ALL SELECT * FROM {second}{name} AS s "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {first}{name} AS t WHERE {match})"
     )
 
 
@@ -198,6 +210,27 @@ def _contract(output: str, table: str, demanded: str, columns: int) -> str:
     )
 
 
+def _inferred(sheet: str, source: str, headers: dict[str, str]) -> str:
+    """Types of the columns of a sheet, ``headers`` naming the column of each header."""
+    tokens = ", ".join(f"'{t}'" for t in NA_TOKENS)
+
+    def one(position: int, header: str, column: str) -> str:
+        whole = f"regexp_matches(x, '{WHOLE_NUMBER}')"
+        fits = "try_cast(x AS BIGINT) IS NOT NULL"
+        return (
+            f"SELECT '{sheet}' AS sheet, CAST({position} AS BIGINT) AS position, '{header}' AS \"column\", "
+            "CASE WHEN count(x) = 0 THEN 'string' "
+            "WHEN bool_and(lower(x) IN ('true', 'false')) THEN 'boolean' "
+            f"WHEN bool_and({whole} AND {fits}) THEN 'bigint' "
+            f"WHEN bool_and(regexp_matches(x, '{NUMBER}') AND (NOT {whole} OR {fits})) THEN 'double' "
+            f"WHEN bool_and(regexp_matches(x, '{ISO_TIMESTAMP}')) THEN 'timestamp_ntz' ELSE 'string' END AS type, "
+            f"count(x) AS present, count(*) AS \"rows\" FROM (SELECT CASE WHEN CAST({column} AS VARCHAR) "
+            f"NOT IN ({tokens}) THEN CAST({column} AS VARCHAR) END AS x FROM {source}) t"
+        )
+
+    return " UNION ALL ".join(one(i, h, c) for i, (h, c) in enumerate(headers.items()))
+
+
 RECONCILED = """
 SELECT o.order_id, o.orders_oid_count, r.returns_oid_count
 FROM (SELECT order_id, count(*) AS orders_oid_count FROM lines GROUP BY order_id) AS o
@@ -210,10 +243,21 @@ _VALUE_COUNTS = (
 )
 _PUBLISHED = publish_path(export_name("products", RUN_DAY), RUN_DAY)
 
+MONTHLY = ("order_year", "order_month", "order_lines", "quantity", "sales", "profit")
+
 ORACLES: dict[str, str] = {
     "scan_sheets": _table("fx_orders"),
     "scan_sheets_people": _table("fx_people"),
     "scan_sheets_returns": _table("fx_returns"),
+    "infer_sheet_types": _query(
+        " UNION ALL ".join(
+            [
+                _inferred("orders", "fx_orders", {h: ORDERS_RENAMES.get(h, snake_case(h)) for h in ORDERS_SHEET}),
+                _inferred("people", "fx_people", {h: PEOPLE_RENAMES[h] for h in PEOPLE_SHEET}),
+                _inferred("returns", "fx_returns", {h: snake_case(h) for h in RETURNS_SHEET}),
+            ]
+        )
+    ),
     "scan_table": _table("star_customers"),
     "run_sql_script": _script("monthly_sales"),
     "run_sql_script_join": _script("returns_by_manager"),
@@ -237,6 +281,16 @@ ORACLES: dict[str, str] = {
         "strftime(o_orderdate, '%Y-%m-%d'), '.csv') AS path FROM orders"
     ),
     "export_partition": _query(f"SELECT *, '{_PUBLISHED}' AS published_as FROM star_products"),
+    "export_one_file": _query(f"SELECT *, '{_PUBLISHED}' AS published_as FROM star_products"),
+    "export_double_text": _query(
+        "SELECT CAST(row_id AS VARCHAR) AS row_id, "
+        + ", ".join(f"CAST({of} AS VARCHAR) AS {name}" for name, of in derived.DOUBLES_SQL.items())
+        + " FROM fx_orders"
+    ),
+    "publish_scripts_monthly": _query(
+        f"SELECT * REPLACE ({', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in MONTHLY)}) "
+        f"FROM ({_script('monthly_sales')}) t"
+    ),
     "publish_scripts": _query(
         "SELECT region, manager, returned, CAST(order_lines AS VARCHAR) AS order_lines, "
         f"CAST(sales AS VARCHAR) AS sales FROM ({_script('returns_by_manager')}) t"
@@ -300,6 +354,12 @@ ORACLES: dict[str, str] = {
         "SELECT order_id, product_id, row_id, date_trunc('day', order_date) AS order_date, "
         "date_trunc('second', ship_date) AS ship_date FROM fx_orders"
     ),
+    "detect_date_formats": _query(
+        "SELECT order_id, product_id, row_id, date_trunc('day', order_date) AS order_date, "
+        "date_trunc('second', ship_date) AS ship_date, 'dmy' AS order_date_order, "
+        "'mdy' AS ship_date_order FROM fx_orders"
+    ),
     "incremental_two_batches": _merged("star_orders", LINE_KEYS),
     "incremental_stream": _merged("star_customers", CUSTOMER_ID),
+    "incremental_ledger": _merged("star_customers", CUSTOMER_ID, "g1_", "g2_"),
 }

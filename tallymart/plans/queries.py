@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from tallymart import derived
 from tallymart.functions import (
+    detect_orders,
     export_name,
     parse_datetime,
+    parse_detected,
     publish_path,
     rename_headers,
 )
@@ -68,7 +70,15 @@ from tallymart.schemas import (
 from tallymart.session import fresh_path
 from tallymart.sinks import create_schema, export_delimited, publish
 from tallymart.sinks.exports import CSV_OPTIONS, publish_scripts
-from tallymart.sources import Sheets, read_scripts, read_sheet, run_script, scan_table
+from tallymart.sources import (
+    Sheets,
+    infer_types,
+    read_cells,
+    read_scripts,
+    read_sheet,
+    run_script,
+    scan_table,
+)
 from tallymart.streaming import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,6 +162,16 @@ def _scan_sheet(name: str) -> Query:
     return query
 
 
+def infer_sheet_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of all columns of the three sheets, read off all of their cells."""
+    batch = derived.write_batch(_sheets(spark, sf_dir), fresh_path(spark, "batch"))
+    found = [
+        infer_types(read_cells(spark, f"{batch}/{name}")).withColumn("sheet", F.lit(name))
+        for name in derived.SHEETS
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def _load_overwrite(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         schema = _fresh_schema(spark)
@@ -213,15 +233,39 @@ def export_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_export(spark, path, PRODUCTS_COLUMNS).withColumn("published_as", published_as)
 
 
-def publish_all_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def export_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products as one file, published twice: the path is the file that the second one replaced."""
+    products = _star(spark, sf_dir, "products")
     root = fresh_path(spark, "published")
-    schema = _fresh_schema(spark)
-    tables = _script_tables(spark, sf_dir)
-    load(spark, tables, schema, mode="overwrite")
-    loaded = {name: scan_table(spark, f"{schema}.{name}") for name in tables}
-    paths = publish_scripts(spark, SCRIPTS, root, RUN_DAY, loaded, single_file=True)
-    columns = ("region", "manager", "returned", "order_lines", "sales")
-    return _read_export(spark, paths["returns_by_manager"], columns)
+    publish(products.limit(1), root, "products", RUN_DAY, single_file=True)
+    path = publish(products, root, "products", RUN_DAY, single_file=True)
+    published_as = F.regexp_extract("_metadata.file_path", r"([^/]+/[^/]+/[^/]+)$", 1)
+    return _read_export(spark, path, PRODUCTS_COLUMNS).withColumn("published_as", published_as)
+
+
+def export_double_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Doubles of many digits and all sizes, exported and read back as the text that stands in the file."""
+    lines = derived.orders(spark, sf_dir).select(
+        F.col("row_id").cast("string").alias("row_id"),
+        *[F.expr(of).alias(name) for name, of in derived.DOUBLES_SQL.items()],
+    )
+    path = export_delimited(lines, fresh_path(spark, "export"))
+    return _read_export(spark, path, lines.columns)
+
+
+def _publish_script(name: str, columns: tuple[str, ...]) -> Query:
+    """All scripts are published; what one of them published is read back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = fresh_path(spark, "published")
+        schema = _fresh_schema(spark)
+        tables = _script_tables(spark, sf_dir)
+        load(spark, tables, schema, mode="overwrite")
+        loaded = {name: scan_table(spark, f"{schema}.{name}") for name in tables}
+        paths = publish_scripts(spark, SCRIPTS, root, RUN_DAY, loaded, single_file=True)
+        return _read_export(spark, paths[name], columns)
+
+    return query
 
 
 def _merge(name: str) -> Query:
@@ -329,6 +373,21 @@ def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumns({c: parse_datetime(F.col(c)) for c in ("order_date", "ship_date")})
 
 
+def detect_date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates day first or ISO from cell to cell, ship dates month first; nothing says which."""
+    text = derived.orders(spark, sf_dir).select(
+        *LINE_SORT,
+        F.when(F.col("quantity") % 2 == 0, F.date_format("order_date", "dd/MM/yyyy"))
+        .otherwise(F.date_format("order_date", "yyyy-MM-dd"))
+        .alias("order_date"),
+        F.date_format("ship_date", "M/d/yyyy H:mm:ss").alias("ship_date"),
+    )
+    dates = ("order_date", "ship_date")
+    orders = detect_orders(text, dates)
+    found = {f"{c}_order": F.lit(orders[c]) for c in dates}
+    return parse_detected(text, dates).withColumns(found)
+
+
 # Interval ingestion ---------------------------------------------------------
 
 
@@ -352,10 +411,25 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, f"{schema}.customers")
 
 
+def incremental_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches with missing merge keys and a bad one between them, all delivered again under a new checkpoint."""
+    schema, landing = _fresh_schema(spark), fresh_path(spark, "landing")
+    orders = derived.with_gaps(derived.orders(spark, sf_dir))
+    people, returns = derived.people(spark, sf_dir), derived.returns(spark, sf_dir)
+    unlike = derived.returns_bad(spark, sf_dir)
+    derived.write_batch(derived.sheets(derived.first_batch(orders), people, returns), f"{landing}/batch-1")
+    derived.write_batch(derived.sheets(orders, people, unlike), f"{landing}/batch-2")
+    derived.write_batch(derived.sheets(derived.second_batch(orders), people, returns), f"{landing}/batch-3")
+    for _ in range(2):
+        ingest_available(spark, landing, schema, fresh_path(spark, "stream"))
+    return scan_table(spark, f"{schema}.customers")
+
+
 QUERIES: dict[str, Query] = {
     "scan_sheets": _scan_sheet("orders"),
     "scan_sheets_people": _scan_sheet("people"),
     "scan_sheets_returns": _scan_sheet("returns"),
+    "infer_sheet_types": infer_sheet_types,
     "scan_table": _load_overwrite("customers"),
     "run_sql_script": _run_script("monthly_sales"),
     "run_sql_script_join": _run_script("returns_by_manager"),
@@ -369,7 +443,15 @@ QUERIES: dict[str, Query] = {
     "export_pipe_csv": export_pipe_csv,
     "export_name": export_names,
     "export_partition": export_partition,
-    "publish_scripts": publish_all_scripts,
+    "export_one_file": export_one_file,
+    "export_double_text": export_double_text,
+    "publish_scripts": _publish_script(
+        "returns_by_manager", ("region", "manager", "returned", "order_lines", "sales")
+    ),
+    "publish_scripts_monthly": _publish_script(
+        "monthly_sales",
+        ("order_year", "order_month", "returned", "order_lines", "quantity", "sales", "profit"),
+    ),
     "rename_headers": rename_all_headers,
     "clean_people": _people,
     "star_orders": lambda s, d: _star(s, d, "orders"),
@@ -400,6 +482,8 @@ QUERIES: dict[str, Query] = {
     "tail_rows": lambda s, d: tail_rows(derived.orders(s, d), LINE_SORT),
     "std_null": lambda s, d: _cleaned(s, d).drop("grouped_order_id", "grouped_product_id"),
     "parse_dates": parse_dates,
+    "detect_date_formats": detect_date_formats,
     "incremental_two_batches": incremental_two_batches,
     "incremental_stream": incremental_stream,
+    "incremental_ledger": incremental_ledger,
 }

@@ -7,6 +7,7 @@ from tallymart.sinks.tables import (
     drop_stage,
     merge_insert_only,
     overwrite,
+    recover,
     stage,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "overwrite",
     "publish",
     "publish_scripts",
+    "recover",
     "stage",
 ]

@@ -1,12 +1,17 @@
 """Pipe-delimited exports under dated names.
 
-An export is a dataset folder of part files written by the tasks; nothing is
+An export is a dataset folder of part files written by the tasks, or one file; nothing is
 gathered on the driver. Point ``root`` at any file system Spark can write to,
 an object store included, and there is no separate upload.
+
+Exports are written beside their path and take it when they are complete, so one that
+fails leaves the old one as it is. One file replaces another by a rename, which
+most file systems make atomic; a folder is moved aside first.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from datetime import date
 
@@ -18,6 +23,7 @@ from tallymart.functions.export_text import (
     export_name,
     publish_path,
 )
+from tallymart.sinks import files
 from tallymart.sources.scripts import read_scripts, run_script
 
 # Fixed values of the export format.
@@ -45,12 +51,32 @@ def export_delimited(
     A timestamp column is written with the finest unit any of its values uses
     (a column of whole days as dates). ``resolutions`` names those units; when
     it is not given, one extra pass over the rows finds them.
-    ``single_file`` is for small reports: one task writes them.
+    ``single_file`` makes ``path`` one file. One task streams the rows into it, as one
+    file needs, so it is for reports; a failure costs that task, not what made the rows.
     """
+    spark, path = df.sparkSession, path.rstrip("/")
     text = as_export_text(df, datetime_resolutions(df) if resolutions is None else resolutions)
     if single_file:
         text = text.repartition(1)  # only the write is single, not what makes the rows
-    text.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    parent, slash, name = path.rpartition("/")
+    beside, old = (f"{parent}{slash}.{name}.{uuid.uuid4().hex[:12]}.{what}" for what in ("new", "old"))
+    try:
+        text.write.options(**CSV_OPTIONS).csv(beside)
+        if files.is_folder(spark, path) or not single_file and files.exists(spark, path):
+            files.move(spark, path, old)
+        if single_file:
+            (part,) = files.data_files(spark, beside)
+            files.replace_file(spark, f"{beside}/{part}", path)
+        else:
+            files.move(spark, beside, path)
+    except BaseException:
+        if files.exists(spark, old) and not files.exists(spark, path):
+            files.move(spark, old, path)
+        raise
+    finally:
+        files.delete(spark, beside)
+        if files.exists(spark, path):
+            files.delete(spark, old)
     return path
 
 

@@ -1,5 +1,6 @@
-"""Interval ingestion of arriving batches."""
+"""Batches that arrive over time."""
 
 from tallymart.streaming.ingest import ingest_available, ingest_batches
+from tallymart.streaming.ledger import Ledger
 
-__all__ = ["ingest_available", "ingest_batches"]
+__all__ = ["Ledger", "ingest_available", "ingest_batches"]

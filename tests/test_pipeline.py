@@ -194,3 +194,15 @@ def test_only_whole_batches_are_ingested_whatever_their_age(spark, schema, tmp_p
         os.utime(path, (path.stat().st_mtime - month,) * 2)
     ingest_available(spark, str(landing), schema, checkpoint)
     assert len(loaded(spark, schema)["orders"]) == len(before["orders"]) + 1
+
+
+@pytest.mark.parametrize("options", [{}, {"mode": "overwrite"}, {"buckets": 2}])
+def test_a_load_reports_what_it_wrote(spark, schema, options):
+    sheets = batch(spark, [*FIRST, {"Order ID": "O-4", "Customer ID": " null ", "Discount": None}], ["O-1", "O-1"])
+    for _ in range(2):
+        report = run_sheets(spark, sheets, schema, **options)
+        tables = {"lines": 4, "orders": 4, "customers": 3, "products": 2, "regions": 1}
+        assert report.rows == {n: c for n, c in tables.items() if n != "orders" or not options.get("buckets")}
+        assert report.missing["lines"]["discount"] == 1 and report.missing["lines"]["segment"] == 1
+        assert report.missing["customers"]["customer_id"] == 1
+        assert all(report.checks.values()) and {"customers", "products"} <= set(report.checks)

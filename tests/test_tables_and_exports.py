@@ -36,7 +36,7 @@ def frame(spark, *data, schema="k string, v int"):
 
 
 def text_of(path) -> str:
-    parts = sorted(Path(path).glob("part-*.csv"))
+    parts = [Path(path)] if Path(path).is_file() else sorted(Path(path).glob("part-*.csv"))
     return "".join(p.read_text(encoding="utf-8") for p in parts)
 
 
