@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,10 +58,10 @@ class Windows:
             return texts.word_hashes(), texts.first
         return byte_values(texts.data), texts.offsets
 
-    def slice(self, texts: Texts, first: int, last: int) -> tuple[int, int]:
-        """The byte range of the windows that start from ``first`` to ``last``."""
+    def slices(self, texts: Texts, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The byte ranges of the windows that start from ``first`` to ``last``."""
         if self.words:
-            return int(texts.starts[first]), int(texts.ends[last + self.length - 1])
+            return texts.starts[first], texts.ends[last + self.length - 1]
         return first, last + self.length
 
 
@@ -154,18 +155,21 @@ def _segment_rows(windows: Windows, shard: int) -> Callable[[Iterator[pa.RecordB
     names = ["key", "hot", "segment", "places"]
 
     def flush(found: dict) -> pa.RecordBatch:
-        keys, hot, segments, places = [], [], [], []
-        for (anchor, segment), (n, own) in found.items():
-            salts = -(-n // shard)
-            salt = int(mix(np.array([own[0] & (2**64 - 1)], np.uint64))[0]) % salts
-            keys.append(int(salted(np.array([anchor], np.uint64), salt).view(np.int64)[0]))
-            hot.append(salts > 1)
-            segments.append(segment)
-            places.append(np.array(own, np.int64).tobytes())
-        kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip([keys, hot, segments, places], kinds, strict=True)], names
-        )
+        anchors = np.array([anchor for anchor, _ in found], np.uint64)
+        totals = np.array([n for n, _ in found.values()], np.int64)
+        ends = np.cumsum([len(own) for _, own in found.values()])
+        places = np.array(list(chain.from_iterable(own for _, own in found.values())), np.int64)
+        starts = np.append(0, ends[:-1])
+        salts = -(-totals // shard)
+        salt = mix(places[starts].view(np.uint64)) % salts.astype(np.uint64)
+        offsets = pa.py_buffer((np.append(0, ends) * 8).astype(np.int32).tobytes())
+        columns = [
+            pa.array(salted(anchors, salt).view(np.int64)),
+            pa.array(salts > 1),
+            pa.array([segment for _, segment in found], pa.binary()),
+            pa.Array.from_buffers(pa.binary(), len(found), [None, offsets, pa.py_buffer(places.tobytes())]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[int, bytes], tuple[int, list[int]]] = {}
@@ -188,17 +192,20 @@ def _segment_rows(windows: Windows, shard: int) -> Callable[[Iterator[pa.RecordB
                 wanted, counts = wanted[order], hit_n[own][order]
                 mine = salted(segments.anchor, segments.owner)
                 place = np.minimum(np.searchsorted(wanted, mine), max(0, len(wanted) - 1))
-                chosen = np.flatnonzero(wanted[place] == mine) if len(wanted) else []
+                chosen = np.flatnonzero(wanted[place] == mine) if len(wanted) else np.zeros(0, np.int64)
                 data = texts.data.tobytes()
-                for i in chosen:
-                    first, last, owner = int(segments.first[i]), int(segments.last[i]), int(segments.owner[i])
-                    a, b = windows.slice(texts, first, last)
-                    key = (int(segments.anchor[i]), data[a:b])
+                owner, first = segments.owner[chosen], segments.first[chosen]
+                columns = (
+                    segments.anchor[chosen], *windows.slices(texts, first, segments.last[chosen]), counts[place[chosen]],
+                    ids[at + owner], tids[at + owner], first - origin[owner],
+                )
+                for anchor, a, b, n, own_id, own_tid, start in zip(*(c.tolist() for c in columns), strict=True):
+                    key = (anchor, data[a:b])
                     entry = found.get(key)
                     if entry is None:
-                        entry = found[key] = (int(counts[place[i]]), [])
+                        entry = found[key] = (n, [])
                         size += b - a + 150
-                    entry[1].extend((int(ids[at + owner]), int(tids[at + owner]), first - int(origin[owner])))
+                    entry[1].extend((own_id, own_tid, start))
                     size += 100
                     if size > 4 * CHUNK:
                         yield flush(found)

@@ -116,12 +116,11 @@ def equal_windows(data: np.ndarray, starts: np.ndarray, key: np.ndarray, length:
     sizes = np.diff(np.append(begin, len(order)))
     leader = np.repeat(order[begin], sizes)
     equal = np.ones(len(order), bool)
+    eight = np.ndarray((len(data) - 7,), ">u8", buffer=data, strides=(1,))
+    own, other = starts[order], starts[leader]
     for at in range(0, length, 8):
         at = min(at, length - 8)
-        eight = starts[order] + at
-        other = starts[leader] + at
-        for k in range(8):
-            equal &= data[eight + k] == data[other + k]
+        equal &= eight[own + at] == eight[other + at]
     run[order[equal]] = leader[equal]
     text = data.tobytes()
     left = np.flatnonzero(~equal)
