@@ -3,10 +3,12 @@
 A rule decides the pages that it fits. The others take the verdict of their
 host: personalised PageRank carries trust from hosts that rules mostly allow
 along links, and distrust from hosts that rules mostly block against them; a host
-with more distrust than trust is blocked.
+with more distrust than trust is blocked. Rounds go on until ``ROUNDS`` of them
+change the ranks by less than ``TOLERANCE`` in all.
 
 Links are the absolute links in the pages, one edge per pair of hosts, and
-subdomains are joined with the domains above them that have pages. Ranks, edges
+subdomains are joined with the domains above them. A host that is linked and has no
+pages takes part as well; rules judge it by the urls that link to it. Ranks, edges
 and sums are DataFrames; a host that many link to is summed before the shuffle.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits
@@ -30,7 +32,8 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 DAMPING = 0.85
-ROUNDS = 10
+#: Rounds between looks at the change of all ranks, which add up to 1 at most, and the change that ends them.
+ROUNDS, TOLERANCE = 10, 1e-3
 #: The share of a host's pages that rules must decide alike to make it a seed.
 SEED_SHARE = 0.5
 
@@ -58,29 +61,45 @@ def rule_number(host: Column, path: Column) -> Column:
     return chosen
 
 
-def _ranks(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """Personalised PageRank of ``seeds`` (host) along ``edges`` (src, dst)."""
-    base = written(seeds.withColumn("share", F.lit(1.0) / max(1, seeds.count())))
-    degrees = edges.groupBy("src").agg(F.count("*").alias("degree"))
-    weighted = written(edges.join(degrees, "src"))
-    ranks = base.withColumnRenamed("share", "rank")
-    for i in range(ROUNDS):
-        passed = (
-            weighted.join(ranks, weighted["src"] == ranks["host"])
-            .select(F.col("dst").alias("host"), (DAMPING * F.col("rank") / F.col("degree")).alias("rank"))
-            .union(base.select("host", ((1 - DAMPING) * F.col("share")).alias("rank")))
-        )
-        ranks = passed.groupBy("host").agg(F.sum("rank").alias("rank"))
-        if i % 5 == 4:
-            ranks = written(ranks)
+def page_ranks(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """Personalised PageRank of ``seeds`` (kind, host) along ``edges`` (kind, src, dst): ``kind``, ``host``, ``rank``.
+
+    Kinds are ranked side by side, each from seeds of equal shares.
+    """
+    share = seeds.groupBy("kind").agg((F.lit(1.0) / F.count("*")).alias("share"))
+    base = written(seeds.join(F.broadcast(share), "kind"))  # a row per kind is broadcast
+    degrees = edges.groupBy("kind", "src").agg(F.count("*").alias("degree"))
+    weighted = written(edges.join(degrees, ["kind", "src"]).withColumnRenamed("src", "host"))
+    ranks = written(base.withColumnRenamed("share", "rank"))
+    change = 1.0
+    while change >= TOLERANCE:
+        before = ranks
+        for _ in range(ROUNDS):
+            passed = weighted.join(ranks, ["kind", "host"]).select(
+                "kind", F.col("dst").alias("host"), (DAMPING * F.col("rank") / F.col("degree")).alias("rank")
+            )
+            given = base.select("kind", "host", ((1 - DAMPING) * F.col("share")).alias("rank"))
+            ranks = passed.union(given).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        ranks = written(ranks)
+        moved = ranks.union(before.select("kind", "host", -F.col("rank"))).groupBy("kind", "host")
+        off = moved.agg(F.abs(F.sum("rank")).alias("off")).groupBy("kind").agg(F.sum("off").alias("off"))
+        change = off.agg(F.max("off")).first()[0] or 0.0
     return ranks
 
 
-def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Distinct (src, dst) pairs of different hosts that have pages."""
+def linked_urls(pages: DataFrame) -> DataFrame:
+    """Absolute links of the pages by hosts and verdict: ``src``, ``dst``, ``verdict`` (null without a rule), ``n``."""
     link = F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_LINK), F.lit(1)))
     target = F.when(F.col("link").startswith("//"), F.concat(F.lit("http:"), F.col("link"))).otherwise(F.col("link"))
-    linked = pages.select(F.col("host").alias("src"), link.alias("link")).select("src", host_of(target).alias("dst"))
+    found = pages.select(F.col("host").alias("src"), link.alias("link")).select("src", target.alias("url"))
+    judged = found.select("src", host_of(F.col("url")).alias("dst"), path_of(F.col("url")).alias("path"))
+    verdicts = F.array(*[F.lit(verdict) for verdict, _, _ in RULES])
+    verdict = F.get(verdicts, rule_number(F.col("dst"), F.col("path")))
+    return judged.where("dst != ''").groupBy("src", "dst", verdict.alias("verdict")).agg(F.count("*").alias("n"))
+
+
+def host_edges(links: DataFrame, hosts: DataFrame) -> DataFrame:
+    """Distinct (src, dst) pairs of different hosts: links, and domains with their subdomains both ways."""
     labels = F.split("host", r"\.")
     above = F.explode(
         F.transform(
@@ -88,19 +107,14 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
             lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
         )
     )
-    over = hosts.select("host", above.alias("other"))
+    over = hosts.select("host", above.alias("other")).join(
+        hosts.select(F.col("host").alias("other")), "other", "left_semi"
+    )
     family = over.select(F.col("host").alias("src"), F.col("other").alias("dst")).union(
         over.select(F.col("other").alias("src"), F.col("host").alias("dst"))
     )
-    known = hosts.select("host")
-    return (
-        linked.distinct()
-        .union(family)
-        .where("src != dst and src != '' and dst != ''")
-        .distinct()
-        .join(known.withColumnRenamed("host", "src"), "src", "left_semi")
-        .join(known.withColumnRenamed("host", "dst"), "dst", "left_semi")
-    )
+    linked = links.where("src != dst and src != ''").select("src", "dst")
+    return linked.union(family).distinct()
 
 
 def url_verdicts(pages: DataFrame) -> DataFrame:
@@ -115,25 +129,28 @@ def url_verdicts(pages: DataFrame) -> DataFrame:
     judged = judged.withColumn("rule", F.when(at.isNotNull(), F.element_at(names, at))).withColumn(
         "_verdict", F.when(at.isNotNull(), F.element_at(verdicts, at))
     )
-    hosts = written(
-        judged.where("host != ''")
-        .groupBy("host")
-        .agg(
-            F.count("*").alias("n"),
-            F.count_if(F.col("_verdict") == "allow").alias("allowed"),
-            F.count_if(F.col("_verdict") == "block").alias("blocked"),
-        )
-    )
-    edges = written(host_edges(judged, hosts))
-    trust = _ranks(hosts.where(F.col("allowed") >= SEED_SHARE * F.col("n")).select("host"), edges)
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    distrust = _ranks(hosts.where(F.col("blocked") >= SEED_SHARE * F.col("n")).select("host"), back)
-    scores = written(
-        hosts.select("host")
-        .join(trust.withColumnRenamed("rank", "trust"), "host", "left")
-        .join(distrust.withColumnRenamed("rank", "distrust"), "host", "left")
-        .na.fill(0.0, ["trust", "distrust"])
+    counts = (
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("verdict") == "allow", F.col("n")).otherwise(0)).alias("allowed"),
+        F.sum(F.when(F.col("verdict") == "block", F.col("n")).otherwise(0)).alias("blocked"),
     )
+    links = written(linked_urls(judged))
+    paged = judged.where("host != ''").groupBy("host", F.col("_verdict").alias("verdict")).agg(F.count("*").alias("n"))
+    own = paged.groupBy("host").agg(*counts)
+    others = links.select(F.col("dst").alias("host"), "verdict", "n").join(own.select("host"), "host", "left_anti")
+    hosts = written(own.union(others.groupBy("host").agg(*counts)))
+    edges = host_edges(links, hosts)
+    both = [
+        edges.select(F.lit("trust").alias("kind"), "src", "dst"),
+        edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst")),
+    ]
+    seeds = [
+        hosts.where(F.col(of) >= SEED_SHARE * F.col("n")).select(F.lit(kind).alias("kind"), "host")
+        for kind, of in (("trust", "allowed"), ("distrust", "blocked"))
+    ]
+    ranks = page_ranks(seeds[0].union(seeds[1]), both[0].union(both[1]))
+    rank = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
+    scores = written(ranks.groupBy("host").agg(rank("trust"), rank("distrust")))
     own = F.when(F.coalesce("distrust", F.lit(0.0)) > F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
     return judged.join(scores, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("_verdict", own).alias("verdict"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -388,3 +389,105 @@ def test_rare_and_long_languages_are_learned(spark, monkeypatch):
     rows += [(1000 + i, "tak nie jest sie dla przez oraz kiedy " * 20, "aa") for i in range(4)]
     model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert model.languages == ["aa", "bb"]
+
+
+LONG_LINES = "".join(f"<p>Paragraph {i} of the body, with commas, and a good deal of prose. It goes on; it ends here.</p>" for i in range(8))
+
+
+def test_boilerplate_names_around_the_text_do_not_hide_it():
+    page = f'<body><div class="post-login-review widget-guide"><h1>Title</h1>{LONG_LINES}</div><div>Imprint and more.</div></body>'
+    text = html_text.main_text(page)
+    assert text.startswith("Title\n\nParagraph 0") and text.endswith("it ends here.")
+    wrapped = f'<body><form><div class="menu"><p>Home.</p></div><div class="comments-open">{LONG_LINES}</div></form></body>'
+    assert html_text.main_text(wrapped).count("Paragraph") == 8 and "Home" not in html_text.main_text(wrapped)
+
+
+def test_text_under_a_doubtful_name_in_an_article_stays():
+    part = "<p>Work by others came close, as far as we know. It differs, though, in two ways; both are told below.</p>" * 3
+    page = f'<body><article><h1>Title</h1>{LONG_LINES}<section class="related-work"><h2>Related</h2>{part}</section></article></body>'
+    assert html_text.main_text(page).count("Work by others") == 3
+    notes = '<div class="comments"><p>Nice one, thanks!</p><p>First.</p></div><div class="share"><p>Tell a friend.</p></div>'
+    text = html_text.main_text(page.replace("</article>", notes + "</article>"))
+    assert "Nice one" not in text and "Tell a friend" not in text and text.count("Work by others") == 3
+
+
+def test_lists_tables_and_verses_beside_long_text_stay():
+    steps = "".join(f"<li>Step {i}</li>" for i in range(12))
+    intro = "<p>This soup, which my aunt made every Sunday, needs an hour. It keeps for days, and it freezes well, too.</p>"
+    table = "<table><tr><td>Salt</td><td>1 g</td></tr></table><pre>stir  well</pre>"
+    page = f"<body><nav><ul><li><a href='/'>Home</a></li></ul></nav><article><h1>Soup</h1>{intro}<ol>{steps}</ol>{table}</article></body>"
+    text = html_text.main_text(page)
+    assert text.startswith("Soup\n\nThis soup") and all(f"Step {i}" in text for i in range(12))
+    assert "Salt" in text and "1 g" in text and text.endswith("stir well") and "Home" not in text
+    verses = "".join(f"<p>line {i} of it</p>" for i in range(12))
+    quote = "<blockquote><p>" + "It was said, long ago, that the sea, which gives, takes back; so it was, and so it is. " * 4 + "</p></blockquote>"
+    text = html_text.main_text(f"<body><article><h1>Poem</h1>{verses}{quote}</article><div>Contact.</div></body>")
+    assert text.startswith("Poem\n\nline 0") and all(f"line {i} of it" in text for i in range(12)) and "Contact" not in text
+
+
+def test_a_quote_that_is_not_closed_ends_with_its_tag():
+    text = html_text.main_text(f'<body><article><p>Go <a href="x>link</a> now, it is good.</p><p class="y">Next, too.</p>{LONG_LINES}</article>')
+    assert text.startswith("Go link now, it is good.\n\nNext, too.\n\nParagraph 0")
+    assert html_text.main_text('<p title="a > b">One, two.</p>') == "One, two."
+    assert html_text.main_text('<p>See <b title="it\'s">this, or <a href=\'x>that.</p>') == "See this, or that."
+
+
+def test_long_pages_take_time_in_proportion(monkeypatch):
+    page = "<article>" + "<p>One, two, three words.</p>" * 16_000 + "</article>"
+    start = time.perf_counter()
+    assert html_text.main_text(page).count("One, two") == 16_000
+    assert time.perf_counter() - start < 3
+    nested = "<div>" * 3000 + "Deep, deep text." + "</div>" * 3000
+    assert html_text.main_text(nested) == "Deep, deep text."
+
+
+def test_scores_choose_on_the_given_pages(spark, monkeypatch):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()]
+    scored = [html_text.main_text(p) for p in pages]
+    assert all(scored)
+    monkeypatch.setattr(html_text, "path_scores", lambda page: np.ones(len(page.texts)))
+    without = [html_text.main_text(p) for p in pages]
+    assert sum(a != b for a, b in zip(scored, without, strict=True)) >= len(pages) / 2
+
+
+def brute_ranks(seeds, edges):
+    out = defaultdict(list)
+    for a, b in edges:
+        out[a].append(b)
+    base = {h: 1 / len(seeds) for h in seeds}
+    ranks = dict(base)
+    for _ in range(300):
+        new = {h: 0.15 * x for h, x in base.items()}
+        for a, x in ranks.items():
+            for b in out[a]:
+                new[b] = new.get(b, 0) + 0.85 * x / len(out[a])
+        ranks = new
+    return ranks
+
+
+def test_page_ranks_reach_the_fixed_point(spark):
+    rng = np.random.default_rng(12)
+    edges = sorted({(f"h{a}", f"h{b}") for a, b in rng.integers(0, 40, (120, 2)) if a != b} | {(f"c{i}", f"c{i + 1}") for i in range(30)})
+    seeds = {"x": ["h0", "h1", "c0"], "y": ["h2"]}
+    found = url_filter.page_ranks(
+        spark.createDataFrame([(k, h) for k, own in seeds.items() for h in own], "kind string, host string"),
+        spark.createDataFrame([(k, a, b) for k in seeds for a, b in edges], "kind string, src string, dst string"),
+    ).collect()
+    for kind, own in seeds.items():
+        expected, got = brute_ranks(own, edges), {r.host: r["rank"] for r in found if r.kind == kind}
+        assert set(got) == set(expected)
+        assert sum(abs(expected[h] - got[h]) for h in got) < 2 * url_filter.TOLERANCE
+
+
+def test_distrust_reaches_far_and_through_hosts_without_pages(spark):
+    link = '<a href="http://{}/x">'.format
+    chain = [(i, f"http://h{i}.org/p", link(f"h{i + 1}.org")) for i in range(14)]
+    rows = [*chain, (14, "http://h14.org/p", '<a href="https://spam.net/es/1">'), (20, "http://lone.org/", None), (20, "http://lone.org/", None)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, n string")
+    found = {r.page_id: r for r in url_filter.url_verdicts(docs).collect()}
+    assert all(found[i].verdict == "block" and found[i].distrust > 0 for i in range(15))
+    assert all(found[i].distrust < found[i + 1].distrust for i in range(14))
+    assert found[20].verdict == "allow" and found[20].distrust == 0
+    long = "<p>" + "word " * 200_000 + "</p>" + link("spam.net") * 1000
+    rows = spark.createDataFrame([(1, "http://a.org/", long), (2, "http://b.net/es/", None)], "page_id long, url string, html string")
+    assert {r.page_id: r.verdict for r in url_filter.url_verdicts(rows).collect()} == {1: "allow", 2: "block"}
