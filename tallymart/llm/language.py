@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.text import LOWER, Texts, byte_values, each_piece, mix, range_hashes, split_words
@@ -202,26 +202,50 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def _least_hashes(able: DataFrame, rows: int) -> int | None:
+    """The hash of id up to which ``rows`` rows of ``able`` have theirs; None if there are no more rows than that.
+
+    Only hashes below a bound that a count gives travel to the driver, about twice as many as asked
+    for at any size; the bound is raised until they are enough.
+    """
+    total = able.count()
+    share = 2 * rows / max(1, total)
+    while share < 1:
+        bound = int(share * 2**63) * 2 - 2**63
+        low = able.where(F.col("_hash") <= bound).select("_hash").orderBy("_hash").limit(rows).collect()
+        if len(low) == rows:
+            return low[-1]["_hash"]
+        share *= 4
+    return None
+
+
 def learn(docs: DataFrame) -> Model | None:
-    """The model of the bounded sample of rows that may be learned from."""
+    """The model of the bounded sample of rows that may be learned from.
+
+    The hashes of ids choose the rows first; only then are their texts fetched.
+    """
     able = (
         docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
         .where("lang is not null and lang != '' and text is not null")
-        .select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    )
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("text"), F.col("lang")]
-
-    def excerpt(rows: DataFrame, chars: int) -> DataFrame:
-        return rows.withColumn("text", F.substring("text", 1, chars))
-
-    rows = excerpt(able, SAMPLE_CHARS).orderBy(*order).limit(SAMPLE_ROWS).collect()
+        .select(
+            "doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
+            F.xxhash64("doc_id").alias("_hash"),
+        )
+    )
+    order = [F.col("_hash"), F.col("doc_id"), F.col("text"), F.col("lang")]
+
+    def chosen(rows: DataFrame, count: int, chars: int) -> list:
+        cut = _least_hashes(rows, count)
+        low = rows if cut is None else rows.where(F.col("_hash") <= cut)
+        # rows of one id share its hash, so there can still be more
+        return low.withColumn("text", F.substring("text", 1, chars)).orderBy(*order).limit(count).collect()
+
+    rows = chosen(able, SAMPLE_ROWS, SAMPLE_CHARS)
     sampled = Counter(r.lang for r in rows)
     counts = able.groupBy("lang").count().collect()
-    rare = [r.lang for r in counts if sampled[r.lang] < min(LEAST_ROWS, r["count"])]
-    if rare:
-        rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-        own = excerpt(able.where(F.col("lang").isin(rare)), LEAST_CHARS).withColumn("rank", rank)
-        rows = [r for r in rows if r.lang not in rare] + own.where(F.col("rank") <= LEAST_ROWS).orderBy("lang", "rank").collect()
+    for rare in sorted(r.lang for r in counts if sampled[r.lang] < min(LEAST_ROWS, r["count"])):
+        own = chosen(able.where(F.col("lang") == rare), LEAST_ROWS, LEAST_CHARS)
+        rows = [r for r in rows if r.lang != rare] + own
     return fit([r.text for r in rows], [r.lang for r in rows])
 
 
