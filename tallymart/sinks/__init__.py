@@ -3,6 +3,7 @@
 from tallymart.sinks.exports import export_delimited, publish, publish_scripts
 from tallymart.sinks.tables import (
     Layout,
+    compact,
     create_schema,
     drop_stage,
     merge_insert_only,
@@ -13,6 +14,7 @@ from tallymart.sinks.tables import (
 
 __all__ = [
     "Layout",
+    "compact",
     "create_schema",
     "drop_stage",
     "export_delimited",

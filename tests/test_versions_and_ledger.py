@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymart import derived
 from tallymart.schemas import MERGE_KEYS
-from tallymart.sinks import Layout, files, merge_insert_only, overwrite, recover, tables
+from tallymart.sinks import Layout, compact, files, merge_insert_only, overwrite, recover, tables
 from tallymart.streaming import Ledger, ingest_available, ingest_batches, ledger
 from tests.test_pipeline import FIRST, TABLES, batch, loaded
 from tests.test_tables_and_exports import frame, rows
@@ -85,6 +85,19 @@ def test_a_version_becomes_current_where_it_was_written(spark, schema):
     assert rows(spark.table(table)) == [(2,), (3,), (4,)]
 
 
+@pytest.mark.parametrize("buckets", [0, 2])
+def test_small_merges_leave_a_bounded_number_of_files(spark, schema, buckets):
+    table, layout = f"{schema}.t", Layout(("k",), buckets)
+    overwrite(frame(spark, ("a", 0), (None, 0)), table, layout)
+    began, done = tables.generation(spark, table), []
+    for n in range(1, 9):
+        merge_insert_only(spark, frame(spark, (f"k{n}", n)), table, ("k",), layout, token=f"t{n}")
+        done.append(compact(spark, table, layout, max_files=4))
+        assert len(files.data_files(spark, tables.location(spark, table))) <= 4
+    assert any(done) and tables.generation(spark, table) == began
+    assert rows(spark.table(table)) == [("a", 0), *((f"k{n}", n) for n in range(1, 9)), (None, 0)]
+
+
 # Merges under a token --------------------------------------------------------
 
 
