@@ -145,8 +145,7 @@ def judge(shard: Shard, windows: Windows, ranges: Ranges) -> None:
         within = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
         one, two = window_hashes(hashes, texts.first[own] + within, length)
         _, kept = np.unique(np.stack([one, two]), axis=1, return_index=True)
-        least = np.array([p[0] for p in shard.places])
-        ranges.add_open(least[own[kept]], within[kept], one[kept], two[kept])
+        ranges.add_open(shard.least[own[kept]], within[kept], one[kept], two[kept])
 
 
 def remove_repeated_words(docs: DataFrame, windows: Windows = WINDOWS, shard: int | None = None) -> DataFrame:

@@ -224,6 +224,7 @@ class Shard:
     hot: np.ndarray
     segments: list[bytes]
     places: list[np.ndarray]  # for each segment (id, tid, first start), least first
+    least: np.ndarray  # the first place of each segment
 
 
 def _shards(batches: Iterator[pa.RecordBatch], dealt: bool) -> Iterator[Shard]:
@@ -234,15 +235,17 @@ def _shards(batches: Iterator[pa.RecordBatch], dealt: bool) -> Iterator[Shard]:
 
     def build() -> Shard:
         numbers = {k: i for i, k in enumerate(hot_of)}
-        places = []
-        for own in found.values():
-            rows = np.frombuffer(b"".join(own), np.int64).reshape(-1, 3)
-            places.append(rows if len(rows) == 1 else rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))])
+        rows = np.frombuffer(b"".join(chain.from_iterable(found.values())), np.int64).reshape(-1, 3)
+        counts = np.array([sum(map(len, own)) // 24 for own in found.values()])
+        if len(rows) > len(counts):
+            rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0], np.repeat(np.arange(len(counts)), counts)))]
+        ends = np.cumsum(counts)
         return Shard(
             np.array([numbers[k] for k, _ in found], np.int64),
             np.array([hot_of[k] for k, _ in found], bool),
             [segment for _, segment in found],
-            places,
+            np.split(rows, ends[:-1]),
+            rows[ends - counts],
         )
 
     for batch in batches:

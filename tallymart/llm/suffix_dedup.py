@@ -150,10 +150,11 @@ def judge(shard: Shard, windows: Windows, ranges: Ranges) -> None:
     owner = np.repeat(np.arange(len(sizes)), counts)
     within = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     starts = offsets[owner] + within
-    least = np.array([p[0] for p in shard.places])
-    for i, places in enumerate(shard.places):
-        if len(places) > 1:
-            ranges.add(places[1:], np.int64(0), np.int64(counts[i] - 1))
+    least = shard.least
+    later = [places[1:] for places in shard.places if len(places) > 1]
+    if later:
+        last = np.repeat([n - 1 for n, places in zip(counts, shard.places, strict=True) if len(places) > 1], list(map(len, later)))
+        ranges.add(np.concatenate(later), np.int64(0), last)
 
     run = equal_windows(data, starts, shard.key[owner], length)
     order = np.lexsort((least[owner, 2] + within, least[owner, 1], least[owner, 0], run))
