@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import calendar
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from datetime import date
-from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,97 +23,11 @@ DATETIME_FORMATS = {
 
 #: Up to so many significant digits a decimal text stands for one double only.
 SURE_DIGITS = 15
-#: The smallest double of full precision.
-SMALLEST_NORMAL = 2.2250738585072014e-308
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _read(digits: Column, power: Column) -> Column:
-    return F.concat(digits.cast("string"), F.lit("E"), power.cast("string")).cast("double")
-
-
-#: Digits that are tried beyond those of a text, and the steps of the search among them.
-FINER = 9
-STEPS = tuple(Decimal(2**k) for k in range(37, -1, -1))
-
-
-def _above(digits: Column, power: Column, size: Column) -> Column:
-    """1, 0 or -1: whether the double ``size`` lies above its text, on it or below.
-
-    A double is in the middle of the numbers that read back as it, or at two thirds if it is a
-    power of two. A search by halves finds how far they reach on either side of the text.
-    """
-    finer = (digits.cast("decimal(38,0)") * F.lit(Decimal(10**FINER))).cast("decimal(38,0)")
-
-    def reach(sign: int) -> Column:
-        def step(found: Column, more: Column) -> Column:
-            further = (found + more).cast("decimal(38,0)")
-            there = _read((finer + further * sign).cast("decimal(38,0)"), power - FINER) == size
-            return F.when(there, further).otherwise(found)
-
-        steps = F.array(*[F.lit(x).cast("decimal(38,0)") for x in STEPS])
-        return F.aggregate(steps, F.lit(Decimal(0)).cast("decimal(38,0)"), step)
-
-    power_of_two = (size > SMALLEST_NORMAL) & (F.pow(F.lit(2.0), F.rint(F.log2(size))) == size)
-    below = F.when(power_of_two, 2).otherwise(1) * reach(-1)
-    return F.signum((reach(1) - below).cast("double"))
-
-
-def _shortest(digits: Column, power: Column, size: Column) -> Column:
-    """The fewest digits, with their power of ten, that stand for the double ``size``.
-
-    ``digits`` times ten to ``power`` stands for it already but may have a digit too many.
-    For each length from the least that can do, the cut digits and the next larger ones
-    are read back; of those that give the same double the nearer one is taken, and the
-    even one of two that are as near.
-    """
-    count = F.length(digits.cast("string"))
-    least = F.when(size < SMALLEST_NORMAL, 1).otherwise(F.least(F.lit(SURE_DIGITS), count))
-
-    def tried(length: Column) -> Column:
-        unit = F.rpad(F.lit("1"), count - length + 1, F.lit("0")).cast("bigint")
-        return _bound(F.struct(unit.alias("unit"), F.call_function("div", digits, unit).alias("low")), lambda x: cut(length, x["unit"], x["low"]))
-
-    def cut(length: Column, unit: Column, low: Column) -> Column:
-        up = power + count - length
-        made = lambda n: F.struct(n.alias("digits"), up.alias("power"))
-        fits = [_read(n, up) == size for n in (low, low + 1)]
-        past = 2 * (digits - low * unit) - unit  # how far the text is past the middle of the two
-        middle = low.cast("decimal(38,0)") * 10 + 5
-        # the last of the digits may be off by one, so what is near the middle is looked at more closely
-        close = (unit > 1) & (F.abs(past) <= 2)
-        side = F.when(~close, F.signum(past.cast("double"))).otherwise(_above(middle, up - 1, size))
-        nearer = F.when((side > 0) | ((side == 0) & (low % 2 == 1)), made(low + 1)).otherwise(made(low))
-        return F.when(fits[0] & fits[1], nearer).when(fits[0], made(low)).when(fits[1], made(low + 1))
-
-    found = F.filter(F.transform(F.sequence(least, count), tried), lambda x: x.isNotNull())
-    return F.get(found, F.lit(0))
-
-
-def _spelled(whole: Column, power: Column, size: Column) -> Column:
-    """Digits times a power of ten, plain or scientific by their size."""
-    digits = F.rtrim(whole.cast("string"), F.lit("0"))
-    last = power + F.length(whole.cast("string")) - F.length(digits)
-    point = F.length(digits) + last  # places before the decimal point
-    zeros = lambda n: F.repeat(F.lit("0"), n)
-    plain = (
-        F.when(last >= 0, F.concat(digits, zeros(last), F.lit(".0")))
-        .when(point > 0, F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1)))
-        .otherwise(F.concat(F.lit("0."), zeros(-point), digits))
-    )
-    scale = F.abs(point - 1).cast("string")
-    scientific = F.concat(
-        F.substr(digits, F.lit(1), F.lit(1)),
-        F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(""),
-        F.when(point < 1, "e-").otherwise("e+"),
-        F.when(F.length(scale) < 2, "0").otherwise(""),
-        scale,
-    )
-    return F.when((size >= 1e-4) & (size < 1e16), plain).otherwise(scientific)
+@F.arrow_udf(T.StringType())
+def _shortest(values: pa.Array) -> pa.Array:
+    return pa.array([None if x is None else repr(x) for x in values.to_pylist()], pa.string())
 
 
 def float_text(value: Column) -> Column:
@@ -121,24 +35,12 @@ def float_text(value: Column) -> Column:
     exponent is in [-4, 16), otherwise ``1e+20`` / ``1.5e-07`` form; NaN becomes NULL.
 
     The JVM's own text reads back too, but before Java 19 it has a digit too many for
-    some doubles. It is taken as it is where it is short and plain, as nearly all are. Of the
-    doubles that need 17 digits, about one in 100,000 gets a last digit that reads back but is not the nearest.
+    some doubles. It is taken as it is where it is short and plain; the others are spelled in Arrow batches.
     """
-    size = F.abs(value)
-    raw = size.cast("string")
-    mantissa, exponent = F.split_part(raw, F.lit("E"), F.lit(1)), F.split_part(raw, F.lit("E"), F.lit(2))
-    fraction = F.split_part(mantissa, F.lit("."), F.lit(2))
-    written = F.replace(mantissa, F.lit("."), F.lit("")).try_cast("bigint")
-    power = F.coalesce(exponent.try_cast("int"), F.lit(0)) - F.length(fraction)
-    spelled = _bound(_shortest(written, power, size), lambda best: _spelled(best["digits"], best["power"], size))
-    short = ~raw.contains("E") & (F.length(raw) <= SURE_DIGITS + 1)
-    text = (
-        F.when(size == float("inf"), "inf")
-        .when(short, raw)
-        .otherwise(spelled)
-    )
+    raw = F.abs(value).cast("string")
+    short = raw.contains(".") & ~raw.contains("E") & (F.length(raw) <= SURE_DIGITS + 1)
     sign = F.when(value.cast("string").startswith("-"), "-").otherwise("")
-    return F.when(~F.isnan(value), F.concat(sign, text))
+    return F.when(short, F.concat(sign, raw)).otherwise(_shortest(F.when(~short & ~F.isnan(value), value)))
 
 
 def is_datetime(data_type: T.DataType) -> bool:

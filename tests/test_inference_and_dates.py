@@ -123,6 +123,14 @@ def test_double_texts_equal_those_of_pandas(spark):
     assert len(wrong) <= 5 and all(float(f) == v and len(f) == len(e) for v, f, e in wrong), wrong[:10]
 
 
+def test_double_texts_are_exact_without_a_search_per_cell(spark):
+    values = [v for v in all_kinds() if v == v]
+    df = spark.createDataFrame(pd.DataFrame({"i": range(len(values)), "x": values})).repartition(8)
+    text = df.select("i", float_text(df["x"]).alias("t"))
+    assert "lambda" not in text._jdf.queryExecution().executedPlan().toString()
+    assert [r["t"] for r in text.orderBy("i").collect()] == [repr(v) for v in values]
+
+
 def test_missing_doubles_are_empty(spark):
     df = spark.createDataFrame([(None,), (float("nan"),)], "x double")
     assert [r["t"] for r in df.select(float_text(df["x"]).alias("t")).collect()] == [None, None]
