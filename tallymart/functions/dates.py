@@ -31,34 +31,53 @@ class UnreadableDates(ValueError):
     """No order of day and month fits all cells of a column."""
 
 
-def _read(text: Column, pattern: str, order: Sequence[str]) -> Column:
-    """The time a cell says under one pattern, whose groups 1, 3 and 4 are in ``order``; NULL if it does not fit."""
-    part = dict(zip(order, (1, 3, 4), strict=True))
-    group = lambda n: F.regexp_extract(text, pattern, n)
-    number = lambda n: F.nullif(group(n), F.lit("")).try_cast("int")
-    month = number(part.get("m", 0)) if "m" in part else F.array_position(
-        F.array(*map(F.lit, MONTHS)), F.lower(group(part["name"]))
-    ).cast("int")
-    clock = [F.coalesce(number(n), F.lit(0)) for n in (5, 6)]
-    seconds = F.coalesce(F.nullif(group(7), F.lit("")).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
-    made = F.try_make_timestamp_ntz(number(part["y"]), month, number(part["d"]), *clock, seconds)
-    return F.when(text.rlike(pattern), made)
-
-
-def unmistakable(text: Column) -> Column:
-    """The time of a cell that can be read in one way only: year first, or with a named month."""
-    return F.coalesce(
-        _read(text, _YEAR_FIRST, "ymd"),
-        _read(text, _COMPACT, "ymd"),
-        _read(text, _DAY_NAME_YEAR, ("d", "name", "y")),
-        _read(text, _NAME_DAY_YEAR, ("name", "d", "y")),
-    )
-
-
-def read_datetime(text: Column, order: str) -> Column:
-    """The time of a cell in a column whose two-number dates have ``order``; NULL if it does not fit."""
-    clear = unmistakable(text)
-    return clear if order == YEAR_FIRST else F.coalesce(clear, _read(text, _TWO_NUMBERS, order))
+#: Each pattern with what its groups 1, 3 and 4 are; a cell fits one pattern at most.
+_FORMS = {
+    "two": (_TWO_NUMBERS, None),
+    "year": (_YEAR_FIRST, "ymd"),
+    "compact": (_COMPACT, "ymd"),
+    "day name": (_DAY_NAME_YEAR, "dny"),
+    "name day": (_NAME_DAY_YEAR, "ndy"),
+}
+_PARTS = "$1\u0001$3\u0001$4\u0001$5\u0001$6\u0001$7"
+
+
+def _parts(text: Column) -> Column:
+    """The form of a cell and the texts of its parts, by one replacement under the pattern it fits; NULL if it fits none.
+
+    Select it as a column of its own before it is used, so that a cell is matched once.
+    """
+    found = F.lit(None).cast("array<string>")
+    for form, (pattern, _) in reversed(_FORMS.items()):
+        split = F.split(F.regexp_replace(text, F.lit(pattern), F.lit(_PARTS)), "\u0001", -1)
+        found = F.when(text.rlike(pattern), F.concat(F.array(F.lit(form)), split)).otherwise(found)
+    return found
+
+
+def _at(parts: Column, order: str) -> Column:
+    """The time that parts say when a date of two numbers has ``order``; NULL if they do not fit."""
+    form = F.get(parts, F.lit(0))
+    two = lambda part: F.lpad(part, 2, "0")
+
+    def place(kind: str) -> Column:
+        places = {f: (o or order).find(kind) + 1 for f, (_, o) in _FORMS.items()}
+        chosen = F.lit(None).cast("int")
+        for at in sorted({p for p in places.values() if p}):
+            chosen = F.when(form.isin(*[f for f, p in places.items() if p == at]), at).otherwise(chosen)
+        return chosen
+
+    named = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.get(parts, place("n"))))
+    month = F.when(form.isin("day name", "name day"), named.cast("string")).otherwise(F.get(parts, place("m")))
+    day = F.concat(F.get(parts, place("y")), F.lit("-"), two(month), F.lit("-"), two(F.get(parts, place("d"))))
+    clock = F.concat(two(F.get(parts, F.lit(4))), F.lit(":"), two(F.get(parts, F.lit(5))), F.lit(":"))
+    # the patterns pass over a line end after the cell, which stays behind the last part
+    seconds, space = F.translate(F.get(parts, F.lit(6)), "\n\r\u0085\u2028\u2029", ""), F.lit(" ")
+    # a minute may have a second 60, which is the next minute
+    over = seconds.rlike(r"^60(\.0*)?$")
+    spelled = F.when(over, "59").when(seconds == "", "00").otherwise(seconds)
+    made = F.concat(day, space, clock, spelled).try_cast("timestamp_ntz")
+    made = F.when(over, made + F.expr("INTERVAL '1' SECOND")).otherwise(made)
+    return F.when(form != "two", made) if order == YEAR_FIRST else F.when(form.isNotNull(), made)
 
 
 def detect_orders(df: DataFrame, columns: Sequence[str], prefer: str | None = None) -> dict[str, str]:
@@ -68,10 +87,14 @@ def detect_orders(df: DataFrame, columns: Sequence[str], prefer: str | None = No
     all cells and differ in some, ``prefer`` decides, and without it the column is refused.
     """
 
-    def counts(name: str) -> Column:
-        text = F.trim(F.col(f"`{name}`"))
-        clear, month, day = (read_datetime(text, o) for o in (YEAR_FIRST, MONTH_FIRST, DAY_FIRST))
-        there = text.isNotNull() & (text != "")
+    def read(i: int) -> list[Column]:
+        """Whether a cell is there, and its time by each order."""
+        orders = (YEAR_FIRST, MONTH_FIRST, DAY_FIRST)
+        return [F.col(f"there {i}"), *[_at(F.col(f"parts {i}"), o).alias(f"{o} {i}") for o in orders]]
+
+    def counts(name: str, i: int) -> Column:
+        there = F.col(f"there {i}")
+        clear, month, day = (F.col(f"{o} {i}") for o in (YEAR_FIRST, MONTH_FIRST, DAY_FIRST))
         return F.struct(
             F.count_if(there & clear.isNull()).alias("open"),
             F.count_if(there & month.isNull()).alias("no_month_first"),
@@ -79,7 +102,10 @@ def detect_orders(df: DataFrame, columns: Sequence[str], prefer: str | None = No
             F.count_if(month != day).alias("differ"),
         ).alias(name)
 
-    found = df.agg(*[counts(c) for c in columns]).first()
+    texts = [F.trim(F.col(f"`{c}`")) for c in columns]
+    parts = [c for i, t in enumerate(texts) for c in ((t != "").alias(f"there {i}"), _parts(t).alias(f"parts {i}"))]
+    times = [c for i in range(len(columns)) for c in read(i)]
+    found = df.select(*parts).select(*times).agg(*[counts(c, i) for i, c in enumerate(columns)]).first()
     return {name: _decided(name, found[name], prefer) for name in columns}
 
 
@@ -98,7 +124,14 @@ def _decided(name: str, count: Mapping[str, int], prefer: str | None) -> str:
     return prefer or MONTH_FIRST
 
 
-def parse_detected(df: DataFrame, columns: Sequence[str], prefer: str | None = None) -> DataFrame:
-    """``df`` with date texts as timestamps, each column by the order found in it."""
-    orders = detect_orders(df, columns, prefer)
-    return df.withColumns({c: read_datetime(F.trim(F.col(f"`{c}`")), orders[c]) for c in columns})
+def parse_detected(
+    df: DataFrame, columns: Sequence[str], prefer: str | None = None, orders: Mapping[str, str] | None = None
+) -> DataFrame:
+    """``df`` with date texts as timestamps, each column by the order found in it.
+
+    ``orders`` are those that ``detect_orders`` found, if it ran already.
+    """
+    orders = detect_orders(df, columns, prefer) if orders is None else orders
+    parts = {f"__parts {c}": _parts(F.trim(F.col(f"`{c}`"))) for c in columns}
+    times = {c: _at(F.col(f"`__parts {c}`"), orders[c]) for c in columns}
+    return df.withColumns(parts).withColumns(times).drop(*parts)

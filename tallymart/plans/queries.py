@@ -385,7 +385,7 @@ def detect_date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = ("order_date", "ship_date")
     orders = detect_orders(text, dates)
     found = {f"{c}_order": F.lit(orders[c]) for c in dates}
-    return parse_detected(text, dates).withColumns(found)
+    return parse_detected(text, dates, orders=orders).withColumns(found)
 
 
 # Interval ingestion ---------------------------------------------------------
