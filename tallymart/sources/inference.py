@@ -31,16 +31,22 @@ def fitting_types(text: Column) -> Column:
 
     A whole number that bigint cannot hold is a text: a double would change its digits.
     """
-    whole, number = text.rlike(WHOLE_NUMBER), text.rlike(NUMBER)
-    fits = {
-        "boolean": F.lower(text).isin("true", "false"),
-        "bigint": whole & text.try_cast("bigint").isNotNull(),
-        "double": number & (~whole | text.try_cast("bigint").isNotNull()),
-        "timestamp_ntz": text.rlike(ISO_TIMESTAMP) & text.try_cast("timestamp_ntz").isNotNull(),
-        "string": text.isNotNull(),
-    }
-    bits = [F.when(fits[t], F.lit(1 << i)).otherwise(0) for i, t in enumerate(TYPES)]
-    return F.when(text.isNotNull(), sum(bits[1:], bits[0]))
+    def mask(*names: str) -> Column:
+        return F.lit(sum(1 << TYPES.index(n) for n in names))
+
+    # Few cells look like numbers or dates: the first character spares the others the patterns.
+    looks = F.substring(text, 1, 1)
+    whole = F.when(text.try_cast("bigint").isNotNull(), mask("bigint", "double", "string")).otherwise(mask("string"))
+    timed = F.when(text.try_cast("timestamp_ntz").isNotNull(), mask("timestamp_ntz", "string")).otherwise(mask("string"))
+    figures = (
+        F.when(text.rlike(WHOLE_NUMBER), whole)
+        .when(text.rlike(NUMBER), mask("double", "string"))
+        .when(text.rlike(ISO_TIMESTAMP), timed)
+        .otherwise(mask("string"))
+    )
+    truth = (F.octet_length(text) <= 5) & F.lower(text).isin("true", "false")
+    fits = F.when((looks <= "9") & (looks >= "+"), figures).when(truth, mask("boolean", "string"))
+    return F.when(text.isNotNull(), fits.otherwise(mask("string")))
 
 
 def _cells(df: DataFrame) -> Mapping[str, Column]:

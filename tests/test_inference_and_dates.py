@@ -14,6 +14,7 @@ from tallymart.functions import AmbiguousDates, UnreadableDates, detect_orders,
 from tallymart.functions.export_text import float_text
 from tallymart.sinks import export_delimited, files
 from tallymart.sources import infer_types, read_inferred
+from tallymart.sources.inference import fitting_types
 from tests.test_tables_and_exports import frame, rows, text_of, write_csv
 
 # Inference -------------------------------------------------------------------
@@ -57,6 +58,11 @@ def test_inferred_types_of_empty_and_typed_tables(spark):
     assert [(r["column"], r["type"]) for r in infer_types(odd).collect()] == [("all rows", "bigint"), ("mask 0", "string")]
 
 
+def test_a_cell_is_matched_against_few_patterns(spark):
+    df = spark.createDataFrame([("x",)], "a string")
+    assert df.select(fitting_types(df["a"]).alias("m"))._jdf.queryExecution().analyzed().toString().count("RLIKE") == 3
+
+
 # Dates -----------------------------------------------------------------------
 
 
@@ -82,6 +88,12 @@ def test_the_order_of_dates_is_read_off_the_column(spark, cells, order, expected
     assert found == [e and datetime(*e) for e in expected]
 
 
+def test_dates_are_read_by_orders_found_before(spark):
+    df = dates(spark, "13/02/2021 1:02:60\n", "2021-01-02\n", "Feb 3, 2021 24:00", None)
+    found = [r["d"] for r in parse_detected(df, ["d"], orders={"d": "dmy"}).collect()]
+    assert found == [datetime(2021, 2, 13, 1, 3), datetime(2021, 1, 2), None, None]
+
+
 def test_dates_that_can_be_read_two_ways_are_refused(spark):
     df = dates(spark, "01/02/2021", "03/03/2021")
     with pytest.raises(AmbiguousDates, match="1 cells of 'd'"):
