@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymart import derived
-from tallymart.schemas import MERGE_KEYS
+from tallymart.schemas import MERGE_KEYS, PEOPLE_SHEET
 from tallymart.sinks import Layout, compact, files, merge_insert_only, overwrite, recover, tables
+from tallymart.sources.sheets import Sheets, read_sheet
 from tallymart.streaming import Ledger, ingest_available, ingest_batches, ledger
 from tests.test_pipeline import FIRST, TABLES, batch, loaded
 from tests.test_tables_and_exports import frame, rows
@@ -217,3 +218,11 @@ def test_dropped_tables_take_their_batches_again_and_the_ledger_stays_small(spar
     ingest_batches(spark, paths, schema)
     assert loaded(spark, schema) == once
     assert len(Ledger(spark, schema).rows().inputFiles()) <= 4 + 6
+
+
+def test_batches_are_written_compressed_and_read_back(spark, tmp_path):
+    people = spark.createDataFrame([(" M ", "a,b"), ("null", 'say "x"'), (None, "c")], "`Regional Manager` string, Region string")
+    path = derived.write_batch(Sheets(None, people, None), str(tmp_path / "batch"), ["people"])
+    assert all(n.endswith(".csv.gz") for n in files.data_files(spark, f"{path}/people"))
+    found = read_sheet(spark, f"{path}/people", PEOPLE_SHEET).collect()
+    assert {tuple(r) for r in found} == {(" M ", "a,b"), (None, 'say "x"'), (None, "c")}
