@@ -7,8 +7,10 @@ its expected count, and a multinomial draw deals the other slots by the
 remaining fractions, so totals stay near the targets. The j-th slot of a source
 takes block ``permutation(j)``, a pseudorandom permutation of its block numbers
 for each pass over the source (a Feistel network over a square that covers the
-block numbers, walked until it lands on one). Slots and blocks are joined by
-number. A source has at most three passes, so no document is taken more than
+block numbers, walked until it lands on one), and the slots of a shard are permuted
+the same way. Slots and blocks are joined by number, and a block is the spans of
+words of the documents it was packed from. These spans are the mix, and what it takes
+of a document is their sum. A source has at most three passes, so no document is taken more than
 three times.
 
 Edge cases: a null or empty text has no words, size 0 and nothing taken; a null
@@ -157,7 +159,7 @@ def slot_table(sources: DataFrame) -> DataFrame:
 
 
 def drawn_blocks(sources: DataFrame) -> DataFrame:
-    """``number`` of the source, ``block`` and ``times`` it is drawn by all shards."""
+    """Per slot that is filled: ``shard``, ``slot`` (its place there), ``number`` of the source and ``block``."""
     spark = sources.sparkSession
     table = slot_table(sources)
     numbers = table.agg(
@@ -173,9 +175,10 @@ def drawn_blocks(sources: DataFrame) -> DataFrame:
         table.where("quota > 0")
         .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_shards") - 1)))
         .repartition(tasks, "number", "shard")
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1)).alias("nth"))
         .select(
-            "number", "blocks",
-            F.explode(F.sequence(F.col("shard") * F.col("quota"), (F.col("shard") + 1) * F.col("quota") - 1)).alias("place"),
+            "number", "blocks", "shard", "per_shard", (F.col("quota_from") + F.col("nth")).alias("at"),
+            (F.col("shard") * F.col("quota") + F.col("nth")).alias("place"),
         )
     )
     # The rest of each shard: a uniform number per slot, and the source whose interval holds it.
@@ -189,7 +192,9 @@ def drawn_blocks(sources: DataFrame) -> DataFrame:
         .select("shard", "slot", "u", cell)
     )
     cells = F.sequence(F.floor(F.col("low") * CELLS), F.least(F.lit(CELLS - 1).cast("long"), F.floor(F.col("high") * CELLS)))
-    intervals = table.where("high > low").select("number", "blocks", "quota", "n_shards", "low", "high", F.explode(cells).alias("cell"))
+    intervals = table.where("high > low").select(
+        "number", "blocks", "quota", "quotas", "n_shards", "per_shard", "low", "high", F.explode(cells).alias("cell")
+    )
     drawn = slots.join(intervals, "cell").where("u >= low and u < high")
     # Places after the fixed ones: shards before this one, then the slots before it.
     counts = drawn.groupBy("number", "shard").agg(F.count("*").alias("n"))
@@ -197,17 +202,19 @@ def drawn_blocks(sources: DataFrame) -> DataFrame:
     base = counts.select("number", "shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     ordered = drawn.withColumn("nth", F.row_number().over(Window.partitionBy("number", "shard").orderBy("slot")) - 1)
     loose = ordered.join(base, ["number", "shard"]).select(
-        "number", "blocks", (F.col("n_shards") * F.col("quota") + F.col("base") + F.col("nth")).alias("place")
-    )
+        "number", "blocks", "shard", "per_shard", (F.col("quotas") + F.col("slot") - 1).alias("at"),
+        (F.col("n_shards") * F.col("quota") + F.col("base") + F.col("nth")).alias("place"),
+    )
     # dealt as the fixed ones are, because the walk of the permutation is the work
     places = fixed.union(loose.repartition(tasks)).where(F.col("place") < PASSES * F.col("blocks"))
     turn = F.floor(F.col("place") / F.col("blocks"))
     block = permuted(F.pmod("place", "blocks"), F.col("blocks"), F.xxhash64("number", turn))
-    return places.select("number", block.alias("block")).groupBy("number", "block").agg(F.count("*").alias("times"))
+    slot = permuted(F.col("at").cast("long"), F.col("per_shard"), F.xxhash64("shard", F.lit(SEED)))
+    return places.select("shard", slot.alias("slot"), "number", block.alias("block"))
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """Per row ``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` words, repeats counted."""
+def _packed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents with the place of their words in their source, and the spans of them that fill the slots."""
     # Both are small next to the texts and used several times: written once, read from there.
     sizes = written(sized(docs))
     sources = written(source_targets(sizes))
@@ -221,14 +228,28 @@ def mix(docs: DataFrame) -> DataFrame:
     end = F.col("offset") + F.col("size")
     blocks = F.sequence(F.floor(F.col("offset") / BLOCK), F.floor((end - 1) / BLOCK))
     # A document with words is known by its source and offset.
-    pieces = placed.where("size > 0").select("number", "offset", "size", F.explode(blocks).alias("block"))
-    overlap = F.least(end, (F.col("block") + 1) * BLOCK) - F.greatest(F.col("offset"), F.col("block") * BLOCK)
-    taken = (
-        pieces.select("number", "offset", "block", overlap.alias("overlap"))
-        .join(drawn, ["number", "block"])
-        .groupBy("number", "offset", F.lit(True).alias("with_words"))
-        .agg(F.sum(F.col("overlap") * F.col("times")).cast("long").alias("taken"))
-    )
+    pieces = placed.where("size > 0").select("doc_id", "source", "number", "offset", "size", F.explode(blocks).alias("block"))
+    start = F.greatest(F.col("offset"), F.col("block") * BLOCK)
+    spans = pieces.select(
+        "doc_id", "source", "number", "offset", "block", (start - F.col("offset")).alias("start"),
+        (F.least(end, (F.col("block") + 1) * BLOCK) - start).alias("n_words"),
+    ).join(drawn, ["number", "block"])
+    return placed, spans
+
+
+def mixture(docs: DataFrame) -> DataFrame:
+    """The mix itself: per ``shard`` and ``slot`` (its place in the shard) the spans of words that fill it.
+
+    A span is ``n_words`` words of the document ``doc_id`` of ``source`` from word ``start`` on; a slot of several has them in
+    the order of ``offset``, the words of the source before the document.
+    """
+    return _packed(docs)[1].select("shard", "slot", "source", "doc_id", "offset", "start", "n_words")
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """Per row ``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``taken``, the words of its spans in the mix."""
+    placed, spans = _packed(docs)
+    taken = spans.groupBy("number", "offset", F.lit(True).alias("with_words")).agg(F.sum("n_words").cast("long").alias("taken"))
     return (
         placed.withColumn("with_words", F.col("size") > 0)
         .join(taken, ["number", "offset", "with_words"], "left")

@@ -207,6 +207,28 @@ def test_mixing(odd, odd_rows):
     assert Counter((r.doc_id, r.taken) for r in again) == Counter((r.doc_id, r.taken) for r in rows)
 
 
+def test_the_mix_is_spans_of_documents(spark):
+    texts = {i: " ".join(f"w{i}_{k}" for k in range(1 + 37 * i % 90)) for i in range(300)} | {300: None, 301: " "}
+    docs = spark.createDataFrame([(i, t, f"s{i % 4}" if i % 4 else None) for i, t in texts.items()], "doc_id long, text string, source string")
+    taken, slots, times = Counter(), {}, Counter()
+    for r in mixing.mixture(docs).collect():
+        own = texts[r.doc_id].split()
+        assert 0 <= r.start and 0 < r.n_words and r.start + r.n_words <= len(own)
+        taken[r.doc_id] += r.n_words
+        times.update((r.doc_id, r.start + k) for k in range(r.n_words))
+        slots.setdefault((r.shard, r.slot), []).append(r)
+    assert taken == {r.doc_id: r.taken for r in mixing.mix(docs).collect() if r.taken}
+    assert max(times.values()) <= mixing.PASSES
+    for parts in slots.values():  # a slot holds one block: adjacent words of one source
+        parts.sort(key=lambda r: r.offset)
+        assert len({r.source for r in parts}) == 1 and sum(r.n_words for r in parts) <= mixing.BLOCK
+        ends = [r.offset + r.start + r.n_words for r in parts]
+        assert ends[:-1] == [r.offset + r.start for r in parts[1:]]
+    first = [slots[k][0].source for k in sorted(slots) if k[0] == 0]
+    changes = sum(a != b for a, b in zip(first, first[1:], strict=False))
+    assert changes > 4 * 4  # sources alternate inside a shard
+
+
 def test_decontamination(odd, odd_rows, benchmark):
     found = {r.doc_id: r for r in decontaminate.contamination(odd, benchmark).collect()}
     assert found[10].contaminated and found[10].items == "1" and found[10].similarity == 1.0
