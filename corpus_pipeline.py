@@ -16,13 +16,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallymart.llm import decontaminate, minhash, mixing, quality, templates
+from tallymart.llm.storage import written
 from tallymart.session import fresh_path
 
-#: Share of words in recurring lines from which a document is taken for a copy.
-COPY_SHARE = 0.2
-
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -32,9 +31,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their recurring lines. A document with a fifth of its words in such lines counts as a copy, exact or
-    near, and stays whole: the next stage drops it as a document, and no text is emptied."""
-    return templates.cut_recurring_lines(docs, whole_from=COPY_SHARE)
+    """Documents without their recurring lines; one that holds nothing else, line for line in other documents, goes.
+
+    Copies, exact or near, count as one document and lose the same lines, so the next stage still finds them."""
+    cut = templates.cut_recurring_lines(docs, groups=written(minhash.groups(docs)))
+    return cut.where(F.col("text").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

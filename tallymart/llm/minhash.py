@@ -228,12 +228,8 @@ def _linked(pairs: DataFrame, sketched: DataFrame, sets: DataFrame, percent: int
     return with_both(near, sets, "elements").mapInArrow(partial(_exact_rows, percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """Per row ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``, and ``_id`` and ``_tid`` to join rows by.
-
-    Texts are linked when 100 * intersection >= ``percent`` * union of their
-    shingle sets; ``component_id`` is the least id reachable.
-    """
+def _labelled(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Per row ``_id``, ``_tid``, the number of shingles ``n`` and the ``label`` of its component, null without a word."""
     texts = _keyed(docs)
     rows = written(
         texts.select("text", "_id", "_tid").mapInArrow(
@@ -320,9 +316,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     if not more.isEmpty():
         labels = components(links.union(more))
 
-    labelled = rows.join(labels, "node", "left").select(
+    return rows.join(labels, "node", "left").select(
         "_id", "_tid", "n", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label")
     )
+
+
+def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``_id``, ``_tid`` and ``group`` of every text with a word: the least ``_id`` of its group of near-duplicates, and its label."""
+    labelled = _labelled(docs, shingle, percent).where("label is not null").select("_id", "_tid", "label")
+    least = labelled.groupBy("label").agg(F.min("_id").alias("least"))
+    flipped = F.bitwise_not("label").alias("flipped")  # joined by another value, so that a large group is split
+    rows = labelled.distinct().select("_id", "_tid", "label", flipped)
+    return rows.join(least.select(flipped, "least"), "flipped").select("_id", "_tid", F.struct("least", "label").alias("group"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """Per row ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``, and ``_id`` and ``_tid`` to join rows by.
+
+    Texts are linked when 100 * intersection >= ``percent`` * union of their
+    shingle sets; ``component_id`` is the least id reachable.
+    """
+    labelled = _labelled(docs, shingle, percent)
     least = labelled.where("label is not null").groupBy("label").agg(F.min("_id").alias("least"))
     flipped = F.bitwise_not("label").alias("flipped")
     grouped = labelled.select("_id", "_tid", "n", flipped).join(least.select(flipped, "least"), "flipped", "left")

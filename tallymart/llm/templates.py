@@ -19,6 +19,10 @@ template, so no leaf is gathered anywhere, rows grow as the lines do, and the re
 how the documents are dealt. A frequent line, token or template is counted by parts before it is
 shuffled, and the joins are fed by shuffles of their own, which adaptive execution splits.
 
+With groups of copies, exact or near, a group counts as one document: a line recurs, and a template has its
+documents, by the groups that have it, and all texts of the earliest group keep it. So copies lose the same lines
+and stay copies, and lines that only copies share stay. (Tokens are put in order by all documents.)
+
 Edge cases: a null or empty text has no lines; lines without a word are kept; a
 text without line breaks is one line, so of texts that are copies one keeps its
 lines; rows that repeat id and text count as different documents and get
@@ -130,11 +134,16 @@ def _leaf_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _gone(found: list[dict] | None) -> set[int]:
-    """The lines to drop: not the earliest of any template they have or, without one, not the earliest of their words."""
+    """The lines to drop: not the earliest of any template they have or, without one, not the earliest of their words.
+
+    Of the earliest lines with the same key, that is the first."""
     kept: dict[tuple[int, bool], bool] = {}
-    for x in found or ():
-        place = (x["number"], x["templated"])
-        kept[place] = kept.get(place, False) or x["earliest"]
+    met: set[tuple[bool, int]] = set()
+    for x in sorted(found or (), key=lambda x: x["number"]):
+        place, key = (x["number"], x["templated"]), (x["templated"], x["key"])
+        kept[place] = kept.get(place, False) or x["earliest"] and key not in met
+        if x["earliest"]:
+            met.add(key)
     return {n for (n, templated), own in kept.items() if not own and (templated or (n, True) not in kept)}
 
 
@@ -207,10 +216,34 @@ def _recurring(places: DataFrame, lines: DataFrame, templated: bool) -> DataFram
     return met.select(
         "_id", "_tid", "number", F.lit(templated).alias("templated"),
         # Rows that repeat id and text share the place.
-        (F.struct("_id", "_tid", "number") == F.col("first")).alias("earliest"),
+        (F.struct("_id", "_tid", "number") == F.col("first")).alias("earliest"), F.col("number").alias("key"),
     )
 
 
+def _recurring_of_groups(places: DataFrame, lines: DataFrame, templated: bool) -> DataFrame:
+    """As ``_recurring``, where a whole ``group`` is the earliest."""
+    met = _met(places.select("line", "_id", "_tid", "number", "group"), lines.select("line", "first", "key"), "line")
+    earliest = (F.col("group") == F.col("first")).alias("earliest")
+    return met.select("_id", "_tid", "number", F.lit(templated).alias("templated"), earliest, "key")
+
+
+def _of_groups(places: DataFrame, key: str, least: int) -> DataFrame:
+    """``key``s that ``least`` groups have, and the ``first`` of these."""
+    met = places.select(key, "group").distinct().groupBy(key).agg(F.count(F.lit(1)).alias("groups"), F.min("group").alias("first"))
+    return met.where(F.col("groups") >= least)
+
+
+def _longest_of_groups(wanted: DataFrame, places: DataFrame, min_docs: int) -> DataFrame:
+    """As ``_longest``, counted by groups; ``key`` is the template."""
+    chains = written(_templates(wanted, min_docs))
+    # a line has several templates and several groups: both sides go by the line, which is split if it is frequent
+    met = chains.select("line", "template").join(places.select(F.col("line").alias("_line"), "group").distinct(), F.expr("line = _line"))
+    recurring = _of_groups(met, "template", min_docs)
+    own = _met(chains.select("line", "fixed", "template", F.col("template").alias("key")), recurring.select("template", "first"), "template")
+    longest = own.groupBy("line").agg(F.max_by(F.struct("first", "key"), "fixed").alias("best"))
+    return longest.select("line", "best.first", "best.key")
+
+
 def _longest(wanted: DataFrame, min_docs: int) -> DataFrame:
     """Of each line with a recurring template, the place where the longest of them comes first."""
     first = F.min(F.struct("_id", "_tid", "number")).alias("first")
@@ -224,8 +257,9 @@ def _longest(wanted: DataFrame, min_docs: int) -> DataFrame:
 
 
 def _cut_lines(
-    docs: DataFrame, min_docs: int, min_copies: int, carried: Column, whole_from: float | None = None
-) -> DataFrame:
+    docs: DataFrame, min_docs: int, min_copies: int, carried: Column, whole_from: float | None = None,
+    groups: DataFrame | None = None,
+) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     spread = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
     texts = docs.select(
@@ -246,12 +280,14 @@ def _cut_lines(
         .select("_id", "_tid", "text", "leaves")
         .mapInArrow(_leaf_lines, f"{place}, new boolean, leaf long, tokens array<long>")
     )
-    gone = (
-        _recurring(wanted, _longest(wanted, min_docs), True)
-        .union(_recurring(rows, copied, False))
-        .groupBy("_id", "_tid")
-        .agg(F.collect_set(F.struct("number", "templated", "earliest")).alias("found"))
-    )
+    if groups is None:
+        found = _recurring(wanted, _longest(wanted, min_docs), True).union(_recurring(rows, copied, False))
+    else:
+        long, all_lines = (x.select("_id", "_tid", "number", "line").join(groups, ["_id", "_tid"]) for x in (wanted, rows))
+        shared = _of_groups(all_lines, "line", min_copies).withColumn("key", F.col("line"))
+        longest = _longest_of_groups(wanted, long, min_docs)
+        found = _recurring_of_groups(long, longest, True).union(_recurring_of_groups(all_lines, shared, False))
+    gone = found.groupBy("_id", "_tid").agg(F.collect_set(F.struct("number", "templated", "earliest", "key")).alias("found"))
     cut = texts.join(gone.hint("shuffle_hash"), ["_id", "_tid"], "left").select("carried", "text", "found")
     kind = cut.schema["carried"].dataType.simpleString()
     schema = f"carried {kind}, n_lines long, n_dropped long, kept string, kept_sha256 string"
@@ -264,17 +300,19 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_copies:
 
 
 def cut_recurring_lines(
-    docs: DataFrame, min_docs: int = MIN_DOCS, min_copies: int = MIN_COPIES, whole_from: float | None = None
-) -> DataFrame:
+    docs: DataFrame, min_docs: int = MIN_DOCS, min_copies: int = MIN_COPIES, whole_from: float | None = None,
+    groups: DataFrame | None = None,
+) -> DataFrame:
     """The rows of ``docs`` with the other lines as ``text`` and, where there, their code points as ``n_chars``.
 
     A row whose lines all recur stays, with an empty text; a null text stays null. With ``whole_from`` a
     row stays whole if at least that share of its words is in lines that would go: it is
-    a copy as a document, and no document with boilerplate.
+    a copy as a document, and no document with boilerplate. With ``groups`` (those of ``minhash.groups``) a group of
+    copies counts as one document, and no share decides.
     """
     others = [c for c in docs.columns if c != "text"]
     carried = F.struct(*[F.col(f"`{c}`") for c in others], F.col("text").isNull().alias("_null"))
-    cut = _cut_lines(docs, min_docs, min_copies, carried, whole_from)
+    cut = _cut_lines(docs, min_docs, min_copies, carried, whole_from, groups)
     kept = F.when(~F.col("carried._null"), F.col("kept"))
     values = {c: F.col(f"carried.`{c}`") for c in others} | {"text": kept}
     if "n_chars" in values:

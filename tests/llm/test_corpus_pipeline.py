@@ -75,6 +75,20 @@ def test_run_returns_the_mix_of_the_kept(spark, folder):
     assert sizes[140] == 160_000 and sizes[1] == 160
 
 
+def test_boilerplate_goes_from_documents_that_are_no_copies(spark):
+    bodies = [prose(40, 2) for _ in range(12)]
+    notice = "Read our terms of use with care before you go on with any of these pages here"
+    rows = [(i, f"{b}\n{notice}") for i, b in enumerate(bodies)]  # a fourth of the words
+    copies = [(20, rows[3][1]), (21, rows[3][1].replace("Read our", "Read all")), (22, rows[5][1])]
+    pieced = [(30, "\n".join(b.split("\n")[0] for b in bodies))]  # nothing of its own, and no copy
+    docs = spark.createDataFrame(rows + copies + pieced, "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, "").collect()}
+    assert kept[0] == rows[0][1]
+    assert all(kept[i] == bodies[i] for i in range(1, 12))
+    assert kept[20] == bodies[3] and kept[22] == bodies[5] and kept[21].startswith(bodies[3])
+    assert 30 not in kept and len(kept) == 15
+
+
 def test_empty_tables(spark, folder, tmp_path):
     root, _ = folder
     for name in ("documents", "labels", "benchmark"):
