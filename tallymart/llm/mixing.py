@@ -109,21 +109,36 @@ def with_offsets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def permuted(x: Column, n: Column, key: Column) -> Column:
-    """The place of ``x`` in a pseudorandom permutation of 0 .. n - 1 that ``key`` chooses."""
-    side = F.greatest(F.lit(1).cast("long"), F.ceil(F.sqrt(n)).cast("long"))
+def permuted(x: str, n: str, key: Column, at: str, df: DataFrame) -> DataFrame:
+    """``df`` with ``at``, the place of ``x`` in a pseudorandom permutation of 0 .. ``n`` - 1 that ``key`` chooses.
+
+    Steps are columns of their own, so that each is taken once; few rows have to walk on after the first one.
+    """
+    side = F.greatest(F.lit(1).cast("long"), F.ceil(F.sqrt(F.col(n))).cast("long"))
 
     def network(at: Column) -> Column:
-        left, right = F.floor(at / side).cast("long"), F.pmod(at, side)
+        left, right = F.floor(at / F.col("_side")).cast("long"), F.pmod(at, F.col("_side"))
         for r in range(4):
-            left, right = right, F.pmod(left + F.pmod(F.xxhash64(right, key, F.lit(SEED + r)), side), side)
-        return left * side + right
+            left, right = right, _turned(left, right, r)
+        return left * F.col("_side") + right
 
-    return F.aggregate(
-        F.sequence(F.lit(1).cast("long"), F.least(F.lit(WALK).cast("long"), side * side - n + 1)),
-        network(x),
-        lambda at, _: F.when(at < n, at).otherwise(network(at)),
+    walk = F.aggregate(
+        F.sequence(F.lit(1).cast("long"), F.least(F.lit(WALK).cast("long"), F.col("_side") * F.col("_side") - F.col(n) + 1)),
+        F.col(at),
+        lambda to, _: F.when(to < F.col(n), to).otherwise(network(to)),
     )
+    found = df.withColumns({"_side": side, "_key": key})
+    found = found.withColumns({"_0": F.floor(F.col(x) / F.col("_side")).cast("long"), "_1": F.pmod(F.col(x), F.col("_side"))})
+    for r in range(4):
+        found = found.withColumn(f"_{r + 2}", _turned(F.col(f"_{r}"), F.col(f"_{r + 1}"), r))
+    found = found.withColumn(at, F.col("_4") * F.col("_side") + F.col("_5"))
+    found = found.withColumn(at, F.when(F.col(at) < F.col(n), F.col(at)).otherwise(walk))
+    return found.drop("_side", "_key", *[f"_{r}" for r in range(6)])
+
+
+def _turned(left: Column, right: Column, r: int) -> Column:
+    """A round of the network over the square of ``_side`` numbers a side that ``_key`` chooses."""
+    return F.pmod(left + F.pmod(F.xxhash64(right, F.col("_key"), F.lit(SEED + r)), F.col("_side")), F.col("_side"))
 
 
 def slot_table(sources: DataFrame) -> DataFrame:
@@ -208,9 +223,10 @@ def drawn_blocks(sources: DataFrame) -> DataFrame:
     # dealt as the fixed ones are, because the walk of the permutation is the work
     places = fixed.union(loose.repartition(tasks)).where(F.col("place") < PASSES * F.col("blocks"))
     turn = F.floor(F.col("place") / F.col("blocks"))
-    block = permuted(F.pmod("place", "blocks"), F.col("blocks"), F.xxhash64("number", turn))
-    slot = permuted(F.col("at").cast("long"), F.col("per_shard"), F.xxhash64("shard", F.lit(SEED)))
-    return places.select("shard", slot.alias("slot"), "number", block.alias("block"))
+    places = places.withColumns({"in_turn": F.pmod("place", "blocks"), "at": F.col("at").cast("long")})
+    blocks = permuted("in_turn", "blocks", F.xxhash64("number", turn), "block", places)
+    slots = permuted("at", "per_shard", F.xxhash64("shard", F.lit(SEED)), "slot", blocks)
+    return slots.select("shard", "slot", "number", "block")
 
 
 def _packed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallymart.llm import (
     decontaminate,
@@ -193,6 +194,20 @@ def test_components(spark):
     assert {r.node: r.label for r in found.collect()} == {i: 0 for i in range(41)} | {90: 90, 95: 90, 100: 90}
 
 
+def test_permutation_takes_each_step_once(spark):
+    sizes = (1, 2, 3, 5, 16, 17, 26, 1000, 1024, 1025)
+    rows = spark.createDataFrame([(n, x) for n in sizes for x in range(n)], "n long, x long")
+    found = mixing.permuted("x", "n", F.xxhash64("n"), "y", rows)
+    assert found.columns == ["n", "x", "y"]
+    for n in sizes:
+        places = {r.x: r.y for r in found.where(F.col("n") == n).collect()}
+        assert sorted(places.values()) == list(range(n))
+        assert n < 1000 or sum(x == y for x, y in places.items()) < 10
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    walked = plan.count("lambda")
+    assert walked and sum("xxhash64" in line and "lambda" not in line for line in plan.splitlines()) >= 4
+
+
 def test_mixing(odd, odd_rows):
     rows = mixing.mix(odd).collect()
     sizes = Counter()
