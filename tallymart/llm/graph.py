@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.storage import written
 
+#: The tasks that write a step of a round: so many, or more with more than ``TASK_LINKS`` links for each.
+TASKS, TASK_LINKS = 16, 200_000
 
-def _neighbours_to_least(pairs: DataFrame) -> DataFrame:
+
+def _neighbours_to_least(pairs: DataFrame, tasks: int) -> DataFrame:
     """(node, neighbour, least of the node and its neighbours) for directed ``pairs`` (u, v)."""
     # Grouped by one value and joined by another, so that a node with very many links is split.
-    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.bitwise_not("u").alias("w"), "m")
-    joined = pairs.select(F.bitwise_not("u").alias("w"), "u", "v").join(least, "w")
+    least = pairs.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks).select(F.bitwise_not("u").alias("w"), "m")
+    joined = pairs.select(F.bitwise_not("u").alias("w"), "u", "v").join(least, "w").coalesce(tasks)
     return joined.select("u", "v", F.least("u", "m").alias("m"))
 
 
@@ -21,21 +24,25 @@ def components(links: DataFrame) -> DataFrame:
 
     Links are longs and may repeat or point both ways. Each round reduces every
     neighbourhood to a star around its least node; the rounds grow with the
-    logarithm of the longest path.
+    logarithm of the longest path. Links are few and small next to what they come from, so the tasks that
+    write for the next step go by the links: a file for each of the session's partitions, in
+    every shuffle of every round, would take more disk than the links do.
     """
     # Written before the first round as well: the optimizer would multiply the conditions of a lazy one.
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
+    tasks = max(TASKS, edges.count() // TASK_LINKS)
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _neighbours_to_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        small = _neighbours_to_least(large)
+        large = _neighbours_to_least(both, tasks).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.where("u != v").distinct().coalesce(tasks)
+        small = _neighbours_to_least(large, tasks)
         edges = written(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(small.select("u", F.col("m").alias("v")))
             .where("u != v")
             .distinct()
+            .coalesce(tasks)
         )
         new = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if new == state:

@@ -194,6 +194,22 @@ def test_components(spark):
     assert {r.node: r.label for r in found.collect()} == {i: 0 for i in range(41)} | {90: 90, 95: 90, 100: 90}
 
 
+def test_components_write_as_links_need(spark, conf, monkeypatch):
+    conf(spark__sql__shuffle__partitions="64", spark__sql__adaptive__coalescePartitions__enabled="false")
+    files, plain = [], graph.written
+
+    def counted(df):
+        out = plain(df)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(graph, "written", counted)
+    links = [(i, i + 1) for i in range(3000) if i % 300]
+    found = {r.node: r.label for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {i: (i - 1) // 300 * 300 + 1 for i in range(1, 3001)}
+    assert len(files) > 3 and max(files[1:]) <= graph.TASKS
+
+
 def test_permutation_takes_each_step_once(spark):
     sizes = (1, 2, 3, 5, 16, 17, 26, 1000, 1024, 1025)
     rows = spark.createDataFrame([(n, x) for n in sizes for x in range(n)], "n long, x long")
