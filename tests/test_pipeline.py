@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -206,3 +207,47 @@ def test_a_load_reports_what_it_wrote(spark, schema, options):
         assert report.missing["lines"]["discount"] == 1 and report.missing["lines"]["segment"] == 1
         assert report.missing["customers"]["customer_id"] == 1
         assert all(report.checks.values()) and {"customers", "products"} <= set(report.checks)
+
+
+ODD_TABLES = {
+    "region": [(0, "AFRICA"), (1, "ASIA"), (None, "NOWHERE")],
+    "nation": [(k, f"NATION_{k}", k % 2) for k in range(4)] + [(4, "LOST", None)],
+    "customer": [(k, f"Customer {k}", k % 4, 1.0, "MACHINERY" if k % 3 else "AUTO") for k in range(9)] + [(3, "Twice", 1, 1.0, None)],
+    "supplier": [(k, f"Supplier {k}", k % 5, 1.0) for k in range(7)] + [(None, "None", 1, 1.0), (8, "No nation", None, 1.0)],
+    "part": [(k, f"Part {k}", f"Brand {k % 3}", "TIN", 1, 10.0 + k) for k in range(12)] + [(2, "Twice", "Brand", "TIN", 1, 3.0)],
+    "orders": [(k, k % 10 or None, "O", 1.0, datetime(1998, 1, 1 + k % 28), "1-URGENT") for k in range(60)]
+    + [(7, 1, "O", 1.0, None, "LOW"), (None, 2, "O", 1.0, None, "LOW")],
+    "lineitem": [
+        (k % 65, k % 13, k % 9, k % 7, 1.0 + k % 50, 100.0 + k, k % 4 / 100, 0.0, "RN"[k % 2], "OF"[k % 3 > 0], datetime(1998, 2, 1 + k % 28))
+        for k in range(600)
+    ]
+    + [(None, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "R", "O", None), (5, None, 1, 1, 1.0, 1.0, 0.0, 0.0, "R", "O", None)],
+}
+
+
+@pytest.fixture(scope="module")
+def odd_tables(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("tables"))
+    for name, rows in ODD_TABLES.items():
+        spark.createDataFrame(rows, derived.TABLES[name]).coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+def test_the_orders_sheet_is_that_of_its_sql(spark, odd_tables):
+    found = derived.orders(spark, odd_tables)
+    expected = derived.derive(spark, odd_tables, derived.ORDERS_SQL)
+    assert found.schema.simpleString() == expected.schema.simpleString()
+    was, now = (Counter(map(tuple, df.collect())) for df in (expected, found))
+    assert now == was and len(now) > 300
+
+
+def test_whole_lines_are_dealt_once(spark, conf, odd_tables):
+    # only what is as small as nations is broadcast
+    nations = sum(os.path.getsize(f"{odd_tables}/nation.parquet/{f}") for f in os.listdir(f"{odd_tables}/nation.parquet"))
+    conf(spark__sql__autoBroadcastJoinThreshold=str(nations), spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    cleaned = clean_lines(prepare_orders(derived.orders(spark, odd_tables)), derived.returns(spark, odd_tables))
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange" in line and "order_id" in line]
+    assert "REPARTITION_BY_NUM" in plan
+    assert not [line for line in dealt if "product_id" in line or "coalesce(order_id" in line], dealt
+    assert cleaned.where("returned = 'Yes'").count() and cleaned.where("returned = 'No'").count()
