@@ -10,9 +10,11 @@ import pytest
 
 from tallymart import derived
 from tallymart.operators import ReconciliationError
+from tallymart.plans import queries
 from tallymart.plans import clean_lines, prepare_orders, prepare_people, run, run_sheets
 from tallymart.operators import star_customers
 from tallymart.schemas import CUSTOMER_ID, ORDERS_SHEET, PEOPLE_SHEET, RETURNS_SHEET
+from tallymart.sinks import publish
 from tallymart.sources import Sheets, read_sheets
 from tallymart.streaming import ingest_available, ingest_batches
 
@@ -251,3 +253,15 @@ def test_whole_lines_are_dealt_once(spark, conf, odd_tables):
     assert "REPARTITION_BY_NUM" in plan
     assert not [line for line in dealt if "product_id" in line or "coalesce(order_id" in line], dealt
     assert cleaned.where("returned = 'Yes'").count() and cleaned.where("returned = 'No'").count()
+
+
+def test_contracts_and_exports_make_the_lines_once(spark, odd_tables, monkeypatch):
+    made, published, sheet = [], [], derived.orders
+    monkeypatch.setattr(derived, "orders", lambda *args: made.append(args) or sheet(*args))
+    checks = {r.output: r for r in queries.contracts(spark, odd_tables).collect()}
+    assert len(made) == 1
+    assert all(r.holds and r.rows for r in checks.values()) and set(checks) == {"orders", "customers", "products"}
+    monkeypatch.setattr(queries, "publish", lambda df, *args, **options: published.append(df) or publish(df, *args, **options))
+    products = queries.export_one_file(spark, odd_tables).count()
+    assert products == checks["products"].rows == queries.export_partition(spark, odd_tables).count()
+    assert len(published) == 4 and all("/staged-" in f for df in published for f in df.inputFiles())
