@@ -279,7 +279,7 @@ def _labelled(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         groups.join(labels, "node", "left").select("node", "group", F.coalesce("label", "node").alias("label"))
     )
     flipped = F.bitwise_not("group").alias("flipped")
-    open_groups = (
+    open_groups = written(
         grouped.groupBy("group", "label")
         .agg(F.count("*").alias("n"))
         .groupBy("group")
@@ -290,31 +290,32 @@ def _labelled(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             F.ceil((F.col("members") - F.col("largest")) / BLOCK).alias("left"),
         )
     )
-    whole = (
-        grouped.select(flipped, "node", "label")
-        .join(open_groups, "flipped")
-        .join(nodes.select("node", "sketch"), "node")
-        .join(sets, "node")
-    )
-
-    def dealt(side: int, own: str, others: str) -> DataFrame:
-        block = F.pmod(F.xxhash64("node"), F.col(own))
-        pair = (lambda i: (block, i)) if side == 0 else (lambda i: (i, block))
-        keys = F.transform(F.sequence(F.lit(0).cast("long"), F.col(others) - 1), lambda i: F.xxhash64("flipped", *pair(i)))
-        rows_of = whole.where("label != main") if side == 0 else whole
-        return rows_of.select(
-            F.explode(keys).alias("key"), F.lit(side).cast("long").alias("side"), "node", "label", "sketch", "elements"
+    if not open_groups.isEmpty():  # else nothing is joined for them
+        whole = (
+            grouped.select(flipped, "node", "label")
+            .join(open_groups, "flipped")
+            .join(nodes.select("node", "sketch"), "node")
+            .join(sets, "node")
         )
 
-    more = written(
-        dealt(0, "left", "right")
-        .union(dealt(1, "right", "left"))
-        .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(partial(_open_links, percent), "a long, b long")
-    )
-    if not more.isEmpty():
-        labels = components(links.union(more))
+        def dealt(side: int, own: str, others: str) -> DataFrame:
+            block = F.pmod(F.xxhash64("node"), F.col(own))
+            pair = (lambda i: (block, i)) if side == 0 else (lambda i: (i, block))
+            keys = F.transform(F.sequence(F.lit(0).cast("long"), F.col(others) - 1), lambda i: F.xxhash64("flipped", *pair(i)))
+            rows_of = whole.where("label != main") if side == 0 else whole
+            return rows_of.select(
+                F.explode(keys).alias("key"), F.lit(side).cast("long").alias("side"), "node", "label", "sketch", "elements"
+            )
+
+        more = written(
+            dealt(0, "left", "right")
+            .union(dealt(1, "right", "left"))
+            .repartition("key")
+            .sortWithinPartitions("key")
+            .mapInArrow(partial(_open_links, percent), "a long, b long")
+        )
+        if not more.isEmpty():
+            labels = components(links.union(more))
 
     return rows.join(labels, "node", "left").select(
         "_id", "_tid", "n", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label")

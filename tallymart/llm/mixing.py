@@ -117,10 +117,14 @@ def permuted(x: str, n: str, key: Column, at: str, df: DataFrame) -> DataFrame:
     side = F.greatest(F.lit(1).cast("long"), F.ceil(F.sqrt(F.col(n))).cast("long"))
 
     def network(at: Column) -> Column:
-        left, right = F.floor(at / F.col("_side")).cast("long"), F.pmod(at, F.col("_side"))
-        for r in range(4):
-            left, right = right, _turned(left, right, r)
-        return left * F.col("_side") + right
+        # A fold over the rounds: written out, each round would hold the one before it twice.
+        halves = F.struct(F.floor(at / F.col("_side")).cast("long").alias("a"), F.pmod(at, F.col("_side")).alias("b"))
+        rounds = F.array(*[F.lit(SEED + r) for r in range(4)])
+        return F.aggregate(
+            rounds, halves,
+            lambda x, seed: F.struct(x["b"].alias("a"), _turned(x["a"], x["b"], seed).alias("b")),
+            lambda x: x["a"] * F.col("_side") + x["b"],
+        )
 
     walk = F.aggregate(
         F.sequence(F.lit(1).cast("long"), F.least(F.lit(WALK).cast("long"), F.col("_side") * F.col("_side") - F.col(n) + 1)),
@@ -130,15 +134,15 @@ def permuted(x: str, n: str, key: Column, at: str, df: DataFrame) -> DataFrame:
     found = df.withColumns({"_side": side, "_key": key})
     found = found.withColumns({"_0": F.floor(F.col(x) / F.col("_side")).cast("long"), "_1": F.pmod(F.col(x), F.col("_side"))})
     for r in range(4):
-        found = found.withColumn(f"_{r + 2}", _turned(F.col(f"_{r}"), F.col(f"_{r + 1}"), r))
+        found = found.withColumn(f"_{r + 2}", _turned(F.col(f"_{r}"), F.col(f"_{r + 1}"), F.lit(SEED + r)))
     found = found.withColumn(at, F.col("_4") * F.col("_side") + F.col("_5"))
     found = found.withColumn(at, F.when(F.col(at) < F.col(n), F.col(at)).otherwise(walk))
     return found.drop("_side", "_key", *[f"_{r}" for r in range(6)])
 
 
-def _turned(left: Column, right: Column, r: int) -> Column:
+def _turned(left: Column, right: Column, seed: Column) -> Column:
     """A round of the network over the square of ``_side`` numbers a side that ``_key`` chooses."""
-    return F.pmod(left + F.pmod(F.xxhash64(right, F.col("_key"), F.lit(SEED + r)), F.col("_side")), F.col("_side"))
+    return F.pmod(left + F.pmod(F.xxhash64(right, F.col("_key"), seed), F.col("_side")), F.col("_side"))
 
 
 def slot_table(sources: DataFrame) -> DataFrame:
@@ -176,7 +180,8 @@ def slot_table(sources: DataFrame) -> DataFrame:
 def drawn_blocks(sources: DataFrame) -> DataFrame:
     """Per slot that is filled: ``shard``, ``slot`` (its place there), ``number`` of the source and ``block``."""
     spark = sources.sparkSession
-    table = slot_table(sources)
+    # A row per source, used three times: read from a file, so that its windows are planned and run once.
+    table = written(slot_table(sources))
     numbers = table.agg(
         F.max("n_shards").alias("shards"), F.max("per_shard").alias("slots"), F.max("quotas").alias("quotas")
     ).first()
@@ -210,7 +215,7 @@ def drawn_blocks(sources: DataFrame) -> DataFrame:
     intervals = table.where("high > low").select(
         "number", "blocks", "quota", "quotas", "n_shards", "per_shard", "low", "high", F.explode(cells).alias("cell")
     )
-    drawn = slots.join(intervals, "cell").where("u >= low and u < high")
+    drawn = written(slots.join(intervals, "cell").where("u >= low and u < high"))  # less than a slot per shard and source
     # Places after the fixed ones: shards before this one, then the slots before it.
     counts = drawn.groupBy("number", "shard").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -245,11 +250,12 @@ def _packed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     blocks = F.sequence(F.floor(F.col("offset") / BLOCK), F.floor((end - 1) / BLOCK))
     # A document with words is known by its source and offset.
     pieces = placed.where("size > 0").select("doc_id", "source", "number", "offset", "size", F.explode(blocks).alias("block"))
+    # A row of the drawn ones stands for thousands of slots until it is exploded: by its size all slots would be broadcast.
     start = F.greatest(F.col("offset"), F.col("block") * BLOCK)
     spans = pieces.select(
         "doc_id", "source", "number", "offset", "block", (start - F.col("offset")).alias("start"),
         (F.least(end, (F.col("block") + 1) * BLOCK) - start).alias("n_words"),
-    ).join(drawn, ["number", "block"])
+    ).join(drawn.hint("merge"), ["number", "block"])
     return placed, spans
 
 

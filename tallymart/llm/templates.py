@@ -285,7 +285,8 @@ def _cut_lines(
     else:
         long, all_lines = (x.select("_id", "_tid", "number", "line").join(groups, ["_id", "_tid"]) for x in (wanted, rows))
         shared = _of_groups(all_lines, "line", min_copies).withColumn("key", F.col("line"))
-        longest = _longest_of_groups(wanted, long, min_docs)
+        # Written, so that the plan of the cut, which the driver makes anew after each of its shuffles, is half as large.
+        longest = written(_longest_of_groups(wanted, long, min_docs))
         found = _recurring_of_groups(long, longest, True).union(_recurring_of_groups(all_lines, shared, False))
     gone = found.groupBy("_id", "_tid").agg(F.collect_set(F.struct("number", "templated", "earliest", "key")).alias("found"))
     cut = texts.join(gone.hint("shuffle_hash"), ["_id", "_tid"], "left").select("carried", "text", "found")

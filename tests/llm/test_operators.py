@@ -194,6 +194,46 @@ def test_components(spark):
     assert {r.node: r.label for r in found.collect()} == {i: 0 for i in range(41)} | {90: 90, 95: 90, 100: 90}
 
 
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_components_plan_few_links_and_few_rounds(spark, monkeypatch):
+    """The driver keeps the plan of every round, so rounds read their links few times and stop at stars."""
+    scans, plain = [], graph.written
+
+    def counted(df):
+        scans.append(optimized(df).count("Relation ["))
+        return plain(df)
+
+    monkeypatch.setattr(graph, "written", counted)
+    stars = [(9, 1), (8, 1), (1, 7), (20, 30), (20, 20)]
+    found = graph.components(spark.createDataFrame(stars, "a long, b long"))
+    assert {(r.node, r.label) for r in found.collect()} == {(9, 1), (8, 1), (7, 1), (1, 1), (30, 20), (20, 20)}
+    assert len(scans) == 1
+    path = [(i, i + 1) for i in range(40)] + [(50, 49), (60, 50), (60, 49)]
+    found = graph.components(spark.createDataFrame(path, "a long, b long"))
+    assert {(r.node, r.label) for r in found.collect()} == {(i, 0) for i in range(41)} | {(i, 49) for i in (49, 50, 60)}
+    assert max(scans) <= 4
+
+
+def test_no_open_group_no_comparisons(spark, odd, monkeypatch):
+    """Without a group of several components nothing is joined for further links."""
+    links, plain = [], minhash.written
+    monkeypatch.setattr(minhash, "written", lambda df: (links.append(df.columns == ["a", "b"]), plain(df))[1])
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(odd.where("doc_id is not null"), 3, 85).collect()}
+    assert found[2] == found[3] == 1 and found[7] == 6 and found[12] == 12
+    assert sum(links) == 2
+
+
+def test_plans_hold_written_parts_once(spark, odd, benchmark):
+    """The items are not made anew in each of their joins, and no slot of the mix is broadcast."""
+    assert "regexp_extract_all" not in optimized(decontaminate.drop_contaminated(odd, benchmark))
+    plan = optimized(mixing.mix(odd))
+    assert "strategy=merge" in plan
+    assert plan.count("Window [") <= 6, plan.count("Window [")
+
+
 def test_components_write_as_links_need(spark, conf, monkeypatch):
     conf(spark__sql__shuffle__partitions="64", spark__sql__adaptive__coalescePartitions__enabled="false")
     files, plain = [], graph.written
