@@ -181,3 +181,12 @@ def test_names_as_columns(spark):
     days = spark.sql("SELECT explode(sequence(DATE'2024-01-15', DATE'2024-12-15', INTERVAL 1 MONTH)) AS d")
     rows = days.select("d", publish_path(export_name("r", F.col("d")), F.col("d")).alias("p")).collect()
     assert all(r["p"] == publish_path(export_name("r", r["d"]), r["d"]) for r in rows)
+
+
+def test_cells_at_the_edges_of_printable_ascii_are_stripped_as_all_others(spark):
+    marks = [*WHITESPACE, "!", "~", "\x7f", "\x00", "\x1b", "\xe9", "\u200b", "\U0001f600"]
+    words = ["", "a", "null", "NuLL", "nulls", "a b"]
+    cells = {a + w + b for a in ["", *marks] for w in words for b in ["", *marks]}
+    found = spark.createDataFrame([(c,) for c in cells], "c string").select("c", null_text_to_null(F.col("c")).alias("f"))
+    for cell, kept in found.collect():
+        assert kept == (None if cell.strip().lower() in ("null", "") else cell.strip()), repr(cell)

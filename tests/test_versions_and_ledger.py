@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import time
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallymart import derived
-from tallymart.schemas import MERGE_KEYS, PEOPLE_SHEET
+from tallymart.functions import rename_headers
+from tallymart.plans import queries, run_sheets
+from tallymart.schemas import MERGE_KEYS, ORDERS_RENAMES, PEOPLE_RENAMES, PEOPLE_SHEET
+from tallymart.session import WIDE_STEPS
 from tallymart.sinks import Layout, compact, files, merge_insert_only, overwrite, recover, tables
-from tallymart.sources.sheets import Sheets, read_sheet
+from tallymart.sources.sheets import Sheets, read_sheet, read_sheets
 from tallymart.streaming import Ledger, ingest_available, ingest_batches, ledger
-from tests.test_pipeline import FIRST, TABLES, batch, loaded
+from tests.test_pipeline import FIRST, TABLES, batch, loaded, odd_tables  # noqa: F401
 from tests.test_tables_and_exports import frame, rows
 
 
@@ -226,3 +232,50 @@ def test_batches_are_written_compressed_and_read_back(spark, tmp_path):
     assert all(n.endswith(".csv.gz") for n in files.data_files(spark, f"{path}/people"))
     found = read_sheet(spark, f"{path}/people", PEOPLE_SHEET).collect()
     assert {tuple(r) for r in found} == {(" M ", "a,b"), (None, 'say "x"'), (None, "c")}
+
+
+def shuffle_files(spark):
+    """The shuffle files in the folders of the session."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {blocks.apply(i).getName() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_batch_leaves_no_shuffle_files_and_no_settings(spark, schema, tmp_path):
+    made = batch(spark, FIRST, ["O-1", "O-1"])
+    before, settings = shuffle_files(spark), {key: spark.conf.get(key, None) for key in WIDE_STEPS}
+    run_sheets(spark, made, schema, token="t")
+    deadline = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert {key: spark.conf.get(key, None) for key in WIDE_STEPS} == settings
+
+
+def test_batches_of_one_pass_are_those_written_one_by_one(spark, tmp_path):
+    days = [datetime(1997, 12, 31), datetime(1998, 1, 1), None, datetime(1999, 1, 1)]
+    lines = [{"Row ID": i, "Order ID": f"O-{i}", "Order Date": day, "Segment": f" {i} "} for i, day in enumerate(days)]
+    sheets = batch(spark, lines, ["O-0", "O-3"], people=[("A", "East"), ("A", "East")])
+    orders = rename_headers(sheets.orders, ORDERS_RENAMES)
+    people, returns = rename_headers(sheets.people, PEOPLE_RENAMES, snake=False), rename_headers(sheets.returns)
+    unlike = returns.limit(1)
+    parts = {"b1": derived.FIRST, "b2": derived.WHOLE, "b3": derived.SECOND, "b4": "order_date IS NULL AND row_id < 0"}
+    waiting = derived.write_batches(orders, people, [(returns, ["b1", "b3", "b4"]), (unlike, ["b2"])], parts, str(tmp_path / "waiting"))
+    for name, met in parts.items():
+        assert not files.exists(spark, f"{waiting}/{name}/READY")
+        path = derived.deliver(spark, waiting, name, str(tmp_path / "landing"))
+        alone = derived.sheets(orders.where(met), people, unlike if name == "b2" else returns)
+        expected = read_sheets(spark, derived.write_batch(alone, str(tmp_path / "alone" / name)))
+        found = read_sheets(spark, path)
+        assert files.exists(spark, f"{path}/READY")
+        for sheet in derived.SHEETS:
+            assert rows(getattr(found, sheet)) == rows(getattr(expected, sheet))
+            assert all(n.endswith(".csv.gz") for n in files.data_files(spark, f"{path}/{sheet}"))
+
+
+def test_the_orders_sheet_of_all_batches_is_derived_once(spark, odd_tables, monkeypatch):
+    made, sheet = [], derived.orders
+    monkeypatch.setattr(derived, "orders", lambda *args: made.append(args) or sheet(*args))
+    written, write = [], derived._write_dealt
+    monkeypatch.setattr(derived, "_write_dealt", lambda *args: written.append(args[-1]) or write(*args))
+    queries.incremental_ledger(spark, odd_tables)
+    assert len(made) == 1 and written == ["orders", "people", "returns", "returns"]
